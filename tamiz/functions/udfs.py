@@ -10,15 +10,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-@F.pandas_udf("string")
-def nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+def _each(f, column: Column | str) -> Column:
+    """A string function of Python over a column; made when used, as a UDF needs a session."""
 
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(f)
 
-@F.pandas_udf("string")
-def fold_exact(s: pd.Series) -> pd.Series:
+    return run(column)
+
+
+def nfc(column: Column | str) -> Column:
+    return _each(lambda x: None if x is None else unicodedata.normalize("NFC", x), column)
+
+
+def fold_exact(column: Column | str) -> Column:
     """Compatibility decomposition without combining marks, lower case; null gives the empty string."""
-    return s.map(lambda x: "".join(c for c in unicodedata.normalize("NFKD", x or "") if not unicodedata.combining(c)).lower())
+    return _each(lambda x: "".join(c for c in unicodedata.normalize("NFKD", x or "") if not unicodedata.combining(c)).lower(), column)
 
 
 class _Paragraphs(HTMLParser):
