@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from .common import cut, scan
-from .pages import FOLD, FUNCTION
+from .pages import FUNCTION, fold
 
 MOST_ITEMS = 100_000
 RUN = 12
@@ -28,7 +28,7 @@ _WORD = re.compile(r"[^\W_]+")
 
 def terms(text: str) -> list[str]:
     """Maximal runs of letters and digits, without case and accents."""
-    return _WORD.findall(text.translate(FOLD).lower())
+    return _WORD.findall(fold(text))
 
 
 def item_terms(items: DataFrame, key: str = "item_id", text: str = "texto") -> dict[int, list[str]]:

@@ -44,6 +44,15 @@ def _fold_table() -> dict[int, str]:
 
 
 FOLD = _fold_table()
+_LETTER = {chr(c): x for c, x in FOLD.items()}.get
+_NON_ASCII = re.compile(r"[^\x00-\x7f]")
+
+
+def fold(s: str) -> str:
+    """Lower case without accents, by single characters; only what is not ASCII costs."""
+    return _NON_ASCII.sub(lambda m: _LETTER(c := m.group(), c), s.lower())
+
+
 FUNCTION = frozenset(x for ws in X.FUNCTION_WORDS.values() for w in ws.split() for x in (w, w.translate(FOLD)))
 _SUSPECT = re.compile("[ÃÂÔ├┬√ГВâ�]")
 _RUN = re.compile(r"[^\x00-\x7f]{2,}")
@@ -54,7 +63,7 @@ _NAVWORDS = frozenset(w for x in _NAV for w in x.split())
 _TRIGGERS = frozenset(X.PAGE_TRIGGERS.split())
 _SIDE = frozenset(X.SIDE_HEADINGS.split("|"))
 _SEP = re.compile(r"\s*[|·›»«•\[\]<>^*/]+\s*|\s{2,}|\t| - |\.(?: |$)|[?¿!¡]|(?<=\S): ")
-_COUNTER = re.compile(r"^(?:visitas?|descargas?|views?|downloads?|lecturas?|citas?) ?: ?\d[\d.,]*$|^\d+ comentarios?$|^\d+ comments?$|^[^\w]*©|^\W*\(c\) ?\d{4}|^[^\w]*inicio ?>|^a[-+] ?a a[-+]$")
+_COUNTER = re.compile(r"^(?:visitas?|descargas?|views?|downloads?|lecturas?|citas?) ?: ?\d[\d.,]*$|^\d+ comentarios?$|^\d+ comments?$|^[^\w]*[©®]|^\W*\(c\) ?\d{4}|^[^\w]*inicio ?>|^a[-+] ?a a[-+]$")
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)\b([^<>]*?)(/?)>|<!--.*?-->|<([a-zA-Z][^<>]*)$")
 _VOID = frozenset("br hr img meta link input".split())
 _BULLET = re.compile(r"^[-*•»·▪–—]\s+")
@@ -77,24 +86,38 @@ _PAIR = re.compile(r"^[^\W\dA-ZÁÉÍÓÚÑ][^:.]{2,40}: (?:\S+)(?: \S+)?$")
 
 _INSIDE = re.compile(r"(?<=[A-Za-z])[^\x00-\x7fáéíóúñüçãõâêôàèëïîùûÁÉÍÓÚÑÜÇÃÕÂÊÔÀ](?=[A-Za-z])|(?<=[a-z])[ÁÉÍÓÚÑÜÇÃÕÂÊÔÀÈÌÒÙÝÛ](?=[a-z])")
 _STRANGE = re.compile(r"[^\x00-\x7fáéíóúñüçãõâêôàèëïîùûÁÉÍÓÚÑÜÇÃÕÂÊÔÀÉ«»…“”‘’–—•·©®ºª°±µβ²³½×¿¡´€\xa0\u0301\u0303]")
-_ONE_BYTE = ("cp850", "mac_roman", "cp437", "cp1251")
+_SOLID = re.compile(r"\S*[^\x00-\x7f]\S*")
+_HIGH = range(0x80, 0x100)
+# character by character: Latin-1 read in an old code page, and an old code page read as Windows or Latin-1
+_ONE_BYTE = [
+    *({ord(bytes([b]).decode(c, "replace")): chr(b) for b in _HIGH if b > 0xA0} for c in ("cp850", "mac_roman", "cp437", "cp1251")),
+    *({ord(x) if (x := bytes([b]).decode("cp1252", "ignore")) else b: bytes([b]).decode(c) for b in _HIGH} for c in ("cp850", "mac_roman")),
+]
 _WANTED = frozenset("áéíóúñãçêôâàõèÁÉÍÓÚÑÃÇÊÔÂ")
 
 
 def _one_byte(text: str) -> str:
-    """A Latin-1 text that was read in another one-byte code, read again if a code explains nearly all odd letters."""
+    """A text of one one-byte code that was read in another, read again if a pair of codes explains nearly all odd letters."""
     odd = "".join(_INSIDE.findall(text))
     if len(odd) < 3:
         return text
-    best, most = "", 0.8 * len(odd)
-    for c in _ONE_BYTE:
-        n = sum(x in _WANTED for x in odd.encode(c, "ignore").decode("latin-1"))
+    best, most = None, 0.8 * len(odd)
+    for table in _ONE_BYTE:
+        n = sum(table.get(ord(x)) in _WANTED for x in odd)
         if n > most:
-            best, most = c, n
-    if not best:
+            best, most = table, n
+    if best is None:
         return text
-    table = {ord(bytes([b]).decode(best, "replace")): chr(b) for b in range(0xA1, 0x100)}
-    return text.translate(table)
+    table, signs = best, frozenset(odd)  # only words with such signs: other parts of the text may be whole
+
+
+    def again(m: re.Match) -> str:
+        w = m.group()
+        if not signs.isdisjoint(w):
+            return w.translate(table)
+        return x if len(w) == 1 and (x := w.translate(table)) in "»«•·–—©®" else w  # a mark by itself
+
+    return _SOLID.sub(again, text)
 
 
 def _sloppy(s: str) -> bytes:
@@ -158,9 +181,10 @@ def density(c: float, t: float, lc: float, lt: float, body_c: float, body_lc: fl
     """Composite text density of a node; 0 for an empty one."""
     if c <= 0:
         return 0.0
-    lc, lt, t = min(lc, c - 0.5), max(lt, 1), max(t, 1)
-    base = math.log(c / (c - lc) * lc + body_lc / max(body_c, 1) * c + math.e)
-    return c / t * math.log(max(c / max(lc, 1) * t / lt, 1.0001), max(base, 1.0001))
+    lc = lc if lc < c - 0.5 else c - 0.5
+    base = math.log(c / (c - lc) * lc + body_lc / (body_c or 1) * c + math.e)
+    much = c / (lc if lc > 1 else 1) * (t or 1) / (lt or 1)
+    return c / (t or 1) * math.log(much if much > 1.0001 else 1.0001) / math.log(base if base > 1.0001 else 1.0001)
 
 
 _cache: dict[str, tuple[str, bool, list[str]]] = {}
@@ -176,10 +200,10 @@ def _look(s: str) -> tuple[str, bool, list[str]]:
         return low, False, low.split()
     hit = _cache.get(s)
     if hit is None:
-        low = " ".join(s.translate(FOLD).lower().split())
+        low = " ".join(fold(s).split())
         words = _WORD.findall(low)
         page = bool(_COUNTER.match(low)) or not _TRIGGERS.isdisjoint(words) and bool(_PAGE.search(low))
-        if not page and words and len(words) <= 30 and sum(w in _NAVWORDS for w in words) >= 0.6 * len(words):
+        if not page and words and len(words) <= 30 and sum(map(_NAVWORDS.__contains__, words)) >= 0.6 * len(words):
             page = _navigation(low)
         hit = (low, page, words)
         if len(s) < 120:
@@ -195,7 +219,7 @@ def _titleish(s: str, low: str) -> bool:
 
 
 def prose_share(words: list[str]) -> float:
-    return sum(w in FUNCTION for w in words) / len(words) if words else 0.0
+    return sum(map(FUNCTION.__contains__, words)) / len(words) if words else 0.0
 
 
 def page_lines(text: str | None) -> list[Line]:
@@ -355,13 +379,13 @@ def _kinds(show: list[str], lows: list[str], wordss: list[list[str]], page: list
             letters = sum(map(len, words))
             blanks, commas = s.count(" ") + 1, s.count(",")
             listed = commas * 4 > len(words) and not _END.search(s) or blanks < 0.7 * len(words)
-            listed = listed or len(s) < 120 and sum(len(w) > 2 and _VOWELS.isdisjoint(w) for w in words) > 0.12 * len(words)
+            listed = listed or len(s) < 120 and sum(map(_VOWELS.isdisjoint, words)) > 0.12 * len(words) and sum(len(w) > 2 and _VOWELS.isdisjoint(w) for w in words) > 0.12 * len(words)
             if len(words) >= 5 and share >= 0.2 and letters >= 0.55 * len(s) and not listed and not (_BULLET.match(s) and not _END.search(s)):
                 kinds[i] = "prose"
             else:
                 kinds[i] = "list"
     # lines that begin large and end in a page number, one below another, are a table of contents
-    paged = [i for i, s in enumerate(show) if kinds[i] in ("list", "prose") and (s[0].isupper() or _BULLET.match(s)) and _PAGED.search(s)]
+    paged = [i for i, s in enumerate(show) if kinds[i] in ("list", "prose") and s[-1].isdigit() and (s[0].isupper() or _BULLET.match(s)) and _PAGED.search(s)]
     for a, b in zip(paged, paged[1:]):
         if all(kinds[k] in ("blank", "page") for k in range(a + 1, b)):
             kinds[a] = kinds[b] = "list"

@@ -18,13 +18,11 @@ from .common import cut, journal, scan
 from .pages import FOLD, Line, page_lines
 from .quality import shares
 
-_TOKEN = re.compile(r"[^\W\d_]+|0|%|[.!?]")
 _NUMBER = re.compile(r"\d[\d.,]*(?<=\d)")
 _TERMINATED = re.compile(r"[.!?][\"”»')\]]*$")
 # Marks that a site or field limit leaves where it cut.
 _MARK = re.compile(r"(?:\.\.\.|…|\(\.\.\.\)|\(…\)|\[\.\.\.\]|\[…\])\s*$|(?:leer|ver|read|seguir|lire|leia)\s+(?:m\S{1,3}s|more|leyendo|la suite|mais)\s*\W*$", re.I)
 _TABULAR = re.compile(r"\t| {3,}|\s\.{3,}\s|;\S|\s\|\s|^\+[-+]+|\.{4,}|^[-*•»·]\s|^\d{1,3}[.)]\s|^[^:.]{3,40}: \S+(?: \S+)?$")
-_BEFORE_END = re.compile(r"([^\s.!?]+ [^\s.!?]+) [.!?]")
 _PAIRS = {")": "(", "]": "[", "}": "{", "»": "«", "”": "“"}
 _BRACKET = re.compile(r"[()\[\]{}«»“”\"]")
 _FLUSH = 400_000
@@ -55,8 +53,8 @@ def broken_end(text: str) -> bool:
 
 
 def tokens(text: str) -> list[str]:
-    """Folded words, 0 for a number, % and terminators."""
-    return _TOKEN.findall(_NUMBER.sub("0", text.lower()))
+    """Blank-separated words in lower case, with 0 for numbers."""
+    return _NUMBER.sub("0", text.lower()).split()
 
 
 def ending(lines: list[Line]) -> tuple[str, str, str]:
@@ -80,7 +78,7 @@ def ending(lines: list[Line]) -> tuple[str, str, str]:
         return "cut", "", ""
     if _TERMINATED.search(s):
         return "complete", "", ""
-    t = [x for x in tokens(" ".join(reversed(para))[-200:]) if x not in ".!?"]
+    t = tokens(" ".join(reversed(para)))[-2:]
     return "open", " ".join(t[-2:]), t[-1] if t else ""
 
 
@@ -93,30 +91,31 @@ def endings(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str = "
 
     def rows(it):
         seen: Counter = Counter()
-        ends: Counter = Counter()
 
         def flush():
             for t, n in seen.items():
-                yield None, None, None, t, n, ends.get(t, 0), None, None
+                yield None, None, None, t, n, 0, None
             seen.clear()
-            ends.clear()
 
         for k, p, text_ in it:
             lines = page_lines(text_) if text_ and text_.strip() else []
             verdict, two, one = ending(lines)
             pars = [x.text for x in lines if x.kind == "prose" and len(x.text) >= 260]
-            yield k, p, verdict, two, len(pars), sum(not _TERMINATED.search(x) for x in pars[:-1]), one, None
+            yield k, p, verdict, two, len(pars), sum(not _TERMINATED.search(x) for x in pars[:-1]), one
             t = tokens("\n".join([x.text for x in lines if x.kind == "prose"]))
             seen.update(map(" ".join, zip(t, t[1:])))
-            ends.update(_BEFORE_END.findall(" ".join(t)))
             if len(seen) > _FLUSH:
                 yield from flush()
         yield from flush()
 
     # one pass gives both the documents and the corpus counts; it is written once and read for each
-    both = cut(scan(df.select(key, pid, text), f"k {kind}, p string, verdict string, two string, n bigint, e bigint, one string, x int", rows))
+    both = cut(scan(df.select(key, pid, text), f"k {kind}, p string, verdict string, two string, n bigint, e bigint, one string", rows))
     docs = both.where("verdict is not null").select(F.col("k").alias(key), F.col("p").alias("pid"), "verdict", "two", "one", F.col("n").alias("paragraphs"), F.col("e").alias("unended"))
-    pairs = both.where("verdict is null").groupBy("two").agg(F.sum("n").alias("n2"), F.sum("e").alias("e2"))
+    stop = r"[.!?]+[\"”»')\]]*$"
+    pairs = (
+        both.where("verdict is null").groupBy(F.regexp_replace("two", stop, "").alias("two"))
+        .agg(F.sum("n").alias("n2"), F.sum(F.when(F.col("two").rlike(stop), F.col("n")).otherwise(0)).alias("e2"))
+    )
     words = pairs.groupBy(F.element_at(F.split("two", " "), -1).alias("one")).agg(F.sum("n2").alias("n1"), F.sum("e2").alias("e1"))
     habit = docs.groupBy(journal(F.col("pid")).alias("j")).agg((F.sum("unended") / F.greatest(F.sum("paragraphs"), F.lit(1))).alias("habit"))
     return (
