@@ -22,7 +22,7 @@ from .common import cut, running_total, scan
 from .pages import Line, page_lines
 
 STATISTICS = ("mean_word", "symbols", "digits", "ended_lines", "common_words", "loose_share", "line_words")
-_WORDS = re.compile(r"[^\W\d_]+")
+_LETTERS = bytes(b for b in range(256) if chr(b).isalpha())
 _ENDED = re.compile(r"[.!?…][\"”»')\]]*$")
 _LANG = {lang: frozenset(ws.split()) for lang, ws in X.FUNCTION_WORDS.items()}
 _ALL = frozenset().union(*_LANG.values())
@@ -35,16 +35,20 @@ def shares(lines: list[Line]) -> tuple[int, int]:
 
 
 def statistics(lines: list[Line], words_in_text: int) -> tuple:
-    """(lang, words, values of STATISTICS, prose and loose characters) of an article; ratios are rounded to 3 places."""
+    """(lang, words, values of STATISTICS, prose and loose characters) of an article; ratios are rounded to 3 places.
+
+    Words are blank-separated; letters beyond Latin-1 count as symbols.
+    """
     body = [x for x in lines if x.kind not in ("page", "blank")]
-    text = "\n".join(x.text for x in body)
-    words = _WORDS.findall(text.lower())
+    text = "\n".join([x.text for x in body])
+    words = text.lower().split()
     n, chars = max(len(words), 1), max(len(text), 1)
-    votes = Counter(w for w in words if w in _ALL)
-    lang = max(_LANG, key=lambda k: (sum(c for w, c in votes.items() if w in _LANG[k]), k == "es")) if votes else "?"
-    letters = sum(map(len, words))
-    digits = sum(map(text.count, "0123456789"))
-    blanks = text.count(" ") + text.count("\n") + text.count("\t")
+    votes = Counter(filter(_ALL.__contains__, words))
+    lang = "?"
+    if sum(votes.values()) >= 0.12 * n:
+        lang = max(_LANG, key=lambda k: (sum(c for w, c in votes.items() if w in _LANG[k]), k == "es"))
+    raw = text.encode("latin-1", "replace")
+    letters, digits, blanks = (len(raw) - len(raw.translate(None, x)) for x in (_LETTERS, b"0123456789", b" \t\n\r\xa0"))
     prose, loose = shares(lines)
     return (
         lang, words_in_text,
@@ -92,8 +96,16 @@ def exact_ranks(values: DataFrame) -> DataFrame:
 
 
 def outlier_scores(stats: DataFrame, key: str = "task_id") -> DataFrame:
-    """(key, score) for texts with statistics: see the module. Ties share a rank; one text alone in its language scores 0."""
-    long = stats.select(key, "lang", F.inline(F.array(*(F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in STATISTICS)))).where("value is not null")
+    """(key, score) for texts with statistics: see the module. Ties share a rank.
+
+    Texts with too few function words for a language, and languages of less than one text in a hundred, are ranked among the texts of
+    the commonest language: a group of nothing but odd texts would hide them. A single text scores 0.
+    """
+    size = {r.lang: r.n for r in stats.where(F.col(STATISTICS[0]).isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
+    main = max((k for k in size if k != "?"), key=lambda k: (size[k], k), default="?")
+    own = [k for k, n in size.items() if k != "?" and 100 * n >= sum(size.values())]
+    lang = F.when(F.col("lang").isin(own), F.col("lang")).otherwise(main).alias("lang")
+    long = stats.select(key, lang, F.inline(F.array(*(F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in STATISTICS)))).where("value is not null")
     tails = exact_ranks(long).select(
         "lang", "stat", "value", (-F.log(F.col("at_most") / F.col("n"))).alias("left_"), (-F.log(F.col("at_least") / F.col("n"))).alias("right_"), "skew"
     )
