@@ -24,10 +24,12 @@ from .common import cut, scan
 
 # Code pages in which bytes of the web are misread.
 CHANNELS = ("cp1252", "cp437", "cp850", "mac_roman", "cp1251")
+OLD_PAGES = ("cp850", "cp437", "mac_roman")
 ACCENTED = "áéíóúñüçãõâêôàèëïîùûäöòìÁÉÍÓÚÑÜÇÃÕÂÊÔÀÈËÏÎÙÛÄÖÒÌ"
 # letters that are not suspect where the case of the word fits them
 _USUAL = frozenset("áéíóúñüçãõâêôàèëïîùûœæ" + "ÁÉÍÓÚÑÜÇÃÕÂÊÔÀÉ")
 _EDGE = "«»“”‘’–—…•·¿¡©®ºª°€\xa0"
+_CLOSING = _EDGE.replace("¿", "").replace("¡", "")
 _TOKEN = re.compile(r"[A-Za-z]*[^\x00-\x7f][^\x00-\x40\x5b-\x60\x7b-\x7f]*")
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _LOST = "�"
@@ -48,7 +50,7 @@ def suspect(word: str) -> bool:
     """Whether a word may be garbled: a character that is no usual letter, or a capital with an accent after a small letter."""
     hit = _seen.get(word)
     if hit is None:
-        w = word.strip(_EDGE)
+        w = word.lstrip(_EDGE).rstrip(_CLOSING)
         odd = [i for i, c in enumerate(w) if ord(c) > 127 and not (c in _USUAL and (c.islower() or not any(x.islower() for x in w[:i]) and not w[i + 1:i + 2].islower() or i == 0 and w[1:2].isascii()))]
         hit = bool(odd) and (len(w) > 1 or word != w) and any(c.isascii() for c in word) or len(odd) > 1
         if len(_seen) > 200_000:
@@ -137,18 +139,26 @@ def lattices(word: str) -> list[tuple[str, list[str]]]:
                 read = bytes(bs).decode("latin-1")
                 if read != word and all(c.isalpha() or c in _EDGE for c in read if ord(c) > 127):
                     out.append((f"{channel}/latin1", list(read)))
+    bs = _bytes(word, "cp1252")
+    if bs is not None and _LOST not in word:
+        for page in OLD_PAGES:  # the other way: an old code page read as Windows or Latin-1
+            read = bytes(bs).decode(page, "replace")
+            if read != word and all(c.isalpha() or c in _EDGE for c in read if ord(c) > 127):
+                out.append((f"cp1252/{page}", list(read)))
     return out
 
 
 def viterbi(choices: list[str], pairs: dict[str, float], floor: float) -> list[tuple[float, str]]:
-    """The best paths through a lattice, as (cost in nats, word), the least cost first; letters after a small one are rather small."""
+    """The best paths through a lattice, as (cost in nats, word), the least cost first; letters have the case of the next certain one."""
     paths = [(0.0, "")]
-    for options in choices:
+    certain = [c for c in choices if len(c) == 1 and c.isalpha()]
+    for i, options in enumerate(choices):
+        near = next((c for c in choices[i + 1:] if len(c) == 1 and c.isalpha()), certain[-1] if certain else "a")
         step = []
         for cost, w in paths:
             last = w[-1:].lower() or "^"
             for c in options:
-                wrong = len(options) > 1 and w and c.isupper() != w[-1].isupper()
+                wrong = len(options) > 1 and c.isupper() != near.isupper()
                 step.append((cost - pairs.get(last + c.lower(), floor) + 4 * bool(wrong), w + c))
         step.sort()
         paths = step[:_BEAM]
@@ -205,7 +215,7 @@ def readings(found: DataFrame, times: float = 4.0, seen: int = 3) -> DataFrame:
                 for cost, reading in best:
                     reading = unicodedata.normalize("NFC", reading)  # a combining accent may have been garbled by itself
                     if _accented(reading) and reading != word:
-                        yield word, word.lower().strip(_EDGE), reading, reading.lower().strip(_EDGE), channel, cost - least + (2.0 if channel.endswith("latin1") else 0.0)
+                        yield word, word.lower().strip(_EDGE), reading, reading.lower().strip(_EDGE), channel, cost - least + (0.0 if "/utf8/" in channel else 2.0)
 
     tried = scan(found.where("tabla is not null").select("word").distinct(), "word string, low string, reading string, key string, channel string, cost double", rows)
     rated = (
