@@ -29,16 +29,21 @@ def fold_pairs() -> tuple[str, str]:
 FOLD_FROM, FOLD_TO = fold_pairs()
 
 
+def _beyond_ascii(x: Column, f) -> Column:
+    """f of a text that has more than ASCII, the text itself otherwise: translation looks each character up, most texts need none."""
+    return F.when(x.rlike(r"[^\x00-\x7f]"), f(x)).otherwise(x)
+
+
 def fold(x: Column) -> Column:
     """Lower case without accents; null gives the empty string."""
-    return F.lower(F.regexp_replace(F.translate(F.coalesce(x, F.lit("")), FOLD_FROM, FOLD_TO), r"\p{M}+", ""))
+    return F.lower(_beyond_ascii(F.coalesce(x, F.lit("")), lambda s: F.regexp_replace(F.translate(s, FOLD_FROM, FOLD_TO), r"\p{M}+", "")))
 
 
 def canon(x: Column) -> Column:
     """Upper case without accents, stripped; ordinals stay (canonical decomposition). Null gives the empty string."""
     kept = "".join(c for c in FOLD_FROM if unicodedata.normalize("NFD", c) != c)
     bare = "".join(FOLD_TO[FOLD_FROM.index(c)] for c in kept)
-    return F.upper(strip(F.regexp_replace(F.translate(F.coalesce(x, F.lit("")), kept, bare), r"\p{Mn}+", "")))
+    return F.upper(strip(_beyond_ascii(F.coalesce(x, F.lit("")), lambda s: F.regexp_replace(F.translate(s, kept, bare), r"\p{Mn}+", ""))))
 
 
 def strip(x: Column) -> Column:

@@ -20,9 +20,19 @@ def _heading(u: Column) -> Column:
     return F.regexp_replace(u, r"[ .:;-]+\z", "")
 
 
+HEAD = 80  # characters that decide on a heading: all are shorter, with room for decomposed accents
+
+
+def head_of(line: Column) -> Column:
+    """The canonical first characters of a line; a longer line is marked by a sign that no heading has, behind its head."""
+    s = strip(line)
+    bare = F.regexp_replace(s, r"[ .:;-]+\z", "")
+    return F.when(F.length(bare) <= HEAD, canon(bare)).otherwise(F.concat(canon(F.substring(s, 1, HEAD)), F.lit("|")))
+
+
 def section_of(line: Column, table: dict[str, tuple[str, ...]] = D.SECTIONS) -> Column:
     """The section that a line opens: a heading, or one that begins the line with text after it; null if none."""
-    return section_of_canon(canon(line), table)
+    return section_of_canon(head_of(F.coalesce(line, F.lit(""))), table)
 
 
 def section_of_canon(u: Column, table: dict[str, tuple[str, ...]] = D.SECTIONS) -> Column:
@@ -55,13 +65,14 @@ def _first(flags: Column) -> Column:
 
 def line_facts(df: DataFrame, text: str = "text") -> DataFrame:
     """df with ``facts``: for each line a struct of the line, stripped and canonical, and what it is. Each line is folded once."""
-    rows = F.transform(lines(unix_lines(F.coalesce(text, F.lit("")))), lambda l: F.struct(strip(l).alias("s"), canon(l).alias("u"), F.contains(F.upper(l), F.lit("ISSN")).alias("issn")))
+    rows = F.transform(lines(unix_lines(F.coalesce(text, F.lit("")))), lambda l: F.struct(strip(l).alias("s"), head_of(l).alias("u"), F.contains(F.upper(l), F.lit("ISSN")).alias("issn")))
     staged = df.withColumn("_u", rows)
     return staged.withColumn(
         "facts",
         F.transform("_u", lambda x: F.struct(
             x.s.alias("s"), x.issn.alias("issn"), section_of_canon(x.u).alias("section"), type_of_canon(x.u).alias("type"),
-            site_line(x.u).alias("site"), doi_line(x.s).alias("doi"),
+            # the whole line matters only where it has an ISSN
+            F.when(x.issn | (F.length(x.s) <= HEAD), site_line(canon(x.s))).otherwise(F.startswith(x.s, F.lit("- "))).alias("site"), doi_line(x.s).alias("doi"),
         )),
     ).drop("_u")
 

@@ -16,27 +16,29 @@ def site_noise(line: Column) -> Column:
     return strip(fold(line)).isin(*D.SITE_NOISE)
 
 
-def caption_line(line: Column) -> Column:
-    return strip(line).rlike(rf"(?iu)^{D.CAPTIONS}{WS}*(?:n[°º.\s]|[0-9]|:)")
-
-
-def issn_line(line: Column) -> Column:
-    s = strip(line)
-    return s.rlike(rf"(?iuU)\bissn\b|versi[oó]n{WS}+(?:impresa|on-?line)") & (F.length(s) < 120)
-
-
-def numeric_line(line: Column) -> Column:
-    return strip(line).rlike(rf"^(?:[\p{{Nd}}.–-]|{WS})+\z")
+_CAPTION = rf"(?iu)^{D.CAPTIONS}{WS}*(?:n[°º.\s]|[0-9]|:)"
+_ISSN = rf"(?iuU)\bissn\b|versi[oó]n{WS}+(?:impresa|on-?line)"
+_NUMBERS = rf"^(?:[\p{{Nd}}.–-]|{WS})++\z"
 
 
 def noise_kind(line: Column) -> Column:
     """'sitio', 'leyenda', 'issn' or 'numeros' for the first test that a line meets, else null."""
-    return F.when(strip(line) == "", None).when(site_noise(line), "sitio").when(caption_line(line), "leyenda").when(issn_line(line), "issn").when(numeric_line(line), "numeros")
+    return _noise_kind(strip(line))
+
+
+def _noise_kind(s: Column) -> Column:
+    # lengths first: site labels are short, and folding a paragraph to compare it with them is not
+    short = F.length(s) <= 2 * max(map(len, D.SITE_NOISE))
+    return (
+        F.when(s == "", None).when(short & site_noise(s), "sitio").when(s.rlike(_CAPTION), "leyenda")
+        .when((F.length(s) < 120) & s.rlike(_ISSN), "issn").when(s.rlike(_NUMBERS), "numeros")
+    )
 
 
 def line_cleanup(text: Column) -> Column:
     """The text without noise lines; blank lines become empty ones and stay. Null stays null."""
-    kept = F.filter(F.transform(split_lines(text), lambda l: F.when(strip(l) == "", "").otherwise(l)), lambda l: noise_kind(l).isNull())
+    both = F.transform(split_lines(text), lambda l: F.struct(l.alias("l"), strip(l).alias("s")))
+    kept = F.transform(F.filter(both, lambda x: _noise_kind(x.s).isNull()), lambda x: F.when(x.s == "", "").otherwise(x.l))
     return F.when(text.isNotNull(), F.array_join(kept, "\n"))
 
 
@@ -64,12 +66,17 @@ def inner_cleanup(x: Column) -> Column:
 
 
 def _first_of(text: Column, patterns: tuple[tuple[str, str], ...], shift: Column | int) -> Column:
-    """Least (place, order, label) among patterns at line starts of ``text``; null if none. Leading white space belongs to a match."""
-    found = []
-    for i, (label, pattern) in enumerate(patterns):
-        parts = F.split(text, f"(?iuU)\n{WS}*" + pattern.replace("{w}", WS), 2)
-        found.append(F.when(F.size(parts) > 1, F.struct((F.length(parts[0]) + shift).alias("pos"), F.lit(i).alias("ord"), F.lit(label).alias("label"))))
-    return F.array_min(F.array_compact(F.array(*found)))
+    """(place, label) of the first match of the patterns at line starts of ``text``; null if none. Leading white space belongs to a match."""
+    written = [(label, pattern.replace("{w}", WS)) for label, pattern in patterns]
+    any_ = rf"(?iuU)\n{WS}*(?:{'|'.join(f'(?:{p})' for _, p in written)})"
+    # one search for all: the leftmost match wins, and at one place the first pattern; its label is read off the short match
+    parts = F.split(text, any_, 2)
+    found = F.size(parts) > 1
+    match = F.substring(text, F.length(parts[0]) + 1, F.length(text) - F.length(parts[0]) - F.length(parts[1]))
+    label = F.lit(written[-1][0])
+    for name, pattern in reversed(written[:-1]):
+        label = F.when(match.rlike(rf"(?iuU)^\n{WS}*(?:{pattern})"), name).otherwise(label)
+    return F.when(found, F.struct((F.length(parts[0]) + shift).alias("pos"), label.alias("label")))
 
 
 def boundaries(df: DataFrame, text: str = "cleaned") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.udfs import fold_exact, html_to_text, nfc
 from ..operators import calls, catalog, clean, entities, relational, relevance, responses, sampling
+from ..session import spread
 from ..streaming import incremental
 from .oracle import oracle_sql
 
@@ -34,6 +35,10 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return spread(_t(spark, sf, "preanot").select(*columns))
+
+
 def _shared(spark: SparkSession) -> str:
     """A new folder on the storage that all executors share; the machine's own only where the session names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -199,63 +204,63 @@ def windowed_counts(spark, sf):
 
 @query
 def word_count(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", T.word_count(F.col("text")).alias("palabras"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", T.word_count(F.col("text")).alias("palabras"))
 
 
 @query
 def line_explode(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", F.posexplode(T.lines(T.unix_lines(F.col("text")))).alias("i", "line")).select("task_id", (F.col("i") + 1).alias("line_no"), "line")
+    return _texts(spark, sf, "task_id", "text").select("task_id", F.posexplode(T.lines(T.unix_lines(F.col("text")))).alias("i", "line")).select("task_id", (F.col("i") + 1).alias("line_no"), "line")
 
 
 @query
 def noise_lines(spark, sf):
-    d = _t(spark, sf, "preanot").select("task_id", F.posexplode(T.split_lines(F.col("text"))).alias("i", "line")).withColumn("tipo", clean.noise_kind(F.col("line")))
+    d = _texts(spark, sf, "task_id", "text").select("task_id", F.posexplode(T.split_lines(F.col("text"))).alias("i", "line")).withColumn("tipo", clean.noise_kind(F.col("line")))
     return d.where(F.col("tipo").isNotNull()).select("task_id", (F.col("i") + 1).alias("line_no"), "tipo")
 
 
 @query
 def line_cleanup(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", clean.line_cleanup(F.col("text")).alias("limpio"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", clean.line_cleanup(F.col("text")).alias("limpio"))
 
 
 @query
 def url_strip(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", clean.strip_urls(F.col("text")).alias("limpio"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", clean.strip_urls(F.col("text")).alias("limpio"))
 
 
 @query
 def citation_strip(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", clean.strip_citations(F.col("text")).alias("limpio"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", clean.strip_citations(F.col("text")).alias("limpio"))
 
 
 @query
 def whitespace_squeeze(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", clean.squeeze(F.col("text")).alias("limpio"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", clean.squeeze(F.col("text")).alias("limpio"))
 
 
 @query
 def inner_cleanup(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", clean.inner_cleanup(F.col("text")).alias("limpio"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", clean.inner_cleanup(F.col("text")).alias("limpio"))
 
 
 @query
 def nfc_exact(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", nfc("text").alias("nfc"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", nfc("text").alias("nfc"))
 
 
 @query
 def smart_trim(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", T.smart_trim(F.col("text")).alias("corto"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", T.smart_trim(F.col("text")).alias("corto"))
 
 
 @query
 def looks_spanish(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", relevance.looks_spanish(F.col("text")).alias("espanol"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", relevance.looks_spanish(F.col("text")).alias("espanol"))
 
 
 @query
 def english_body(spark, sf):
-    return _t(spark, sf, "preanot").select("task_id", relevance.english_body(F.col("text")).alias("ingles"))
+    return _texts(spark, sf, "task_id", "text").select("task_id", relevance.english_body(F.col("text")).alias("ingles"))
 
 
 @query
@@ -270,34 +275,34 @@ def flex_find(spark, sf):
 
 @query
 def section_detect(spark, sf):
-    d = _t(spark, sf, "preanot").select("task_id", F.posexplode(T.lines(T.unix_lines(F.col("text")))).alias("i", "line"))
+    d = _texts(spark, sf, "task_id", "text").select("task_id", F.posexplode(T.lines(T.unix_lines(F.col("text")))).alias("i", "line"))
     return d.select("task_id", (F.col("i") + 1).alias("line_no"), catalog.section_of(F.col("line")).alias("seccion")).where(F.col("seccion").isNotNull())
 
 
 @query
 def type_detect(spark, sf):
-    d = _t(spark, sf, "preanot").select("task_id", F.posexplode(T.lines(T.unix_lines(F.col("text")))).alias("i", "line"))
+    d = _texts(spark, sf, "task_id", "text").select("task_id", F.posexplode(T.lines(T.unix_lines(F.col("text")))).alias("i", "line"))
     return d.select("task_id", (F.col("i") + 1).alias("line_no"), catalog.type_of_canon(T.canon(F.col("line"))).alias("tipo")).where(F.col("tipo").isNotNull())
 
 
 @query
 def ordered_sections(spark, sf):
-    return catalog.catalogue(_t(spark, sf, "preanot").select("task_id", "text")).select("task_id", F.array_join("structure", " › ").alias("estructura"))
+    return catalog.catalogue(_texts(spark, sf, "task_id", "text")).select("task_id", F.array_join("structure", " › ").alias("estructura"))
 
 
 @query
 def header_block(spark, sf):
-    return catalog.catalogue(_t(spark, sf, "preanot").select("task_id", "text")).select("task_id", F.col("voldate").alias("volumen"), F.col("type").alias("tipo"), F.col("title").alias("titulo"))
+    return catalog.catalogue(_texts(spark, sf, "task_id", "text")).select("task_id", F.col("voldate").alias("volumen"), F.col("type").alias("tipo"), F.col("title").alias("titulo"))
 
 
 @query
 def final_type(spark, sf):
-    return catalog.catalogue(_t(spark, sf, "preanot").select("task_id", "text")).select("task_id", F.col("final_type").alias("tipo"), F.col("nlines").alias("lineas"))
+    return catalog.catalogue(_texts(spark, sf, "task_id", "text")).select("task_id", F.col("final_type").alias("tipo"), F.col("nlines").alias("lineas"))
 
 
 @query
 def abstract_extract(spark, sf):
-    return catalog.catalogue(_t(spark, sf, "preanot").select("task_id", "text")).select("task_id", F.col("abstract").alias("resumen"))
+    return catalog.catalogue(_texts(spark, sf, "task_id", "text")).select("task_id", F.col("abstract").alias("resumen"))
 
 
 @query
@@ -310,7 +315,7 @@ def catalog_cards(spark, sf):
 
 
 def _bounded(spark, sf):
-    return clean.core(_t(spark, sf, "preanot").select("task_id", "text"))
+    return clean.core(_texts(spark, sf, "task_id", "text"))
 
 
 @query
@@ -424,12 +429,12 @@ def json_rescue(spark, sf):
 
 @query
 def entity_counts(spark, sf):
-    return entities.valid_mentions(_t(spark, sf, "preanot")).groupBy("task_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return entities.valid_mentions(_texts(spark, sf, "task_id", "text", "entidades")).groupBy("task_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def mention_offsets(spark, sf):
-    return entities.mention_offsets(_t(spark, sf, "preanot"))
+    return entities.mention_offsets(_texts(spark, sf, "task_id", "text", "entidades"))
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,3 +19,12 @@ def session(app: str = "tamiz", master: str | None = None, **settings: str) -> S
     """A session; ``settings`` (dots as double underscores) win over SETTINGS."""
     builder = SparkSession.builder.appName(app).config(map=SETTINGS | {k.replace("__", "."): v for k, v in settings.items()})
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores: a table of few files would keep most of them idle.
+
+    A table of many files, as large ones are, stays as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -97,6 +97,7 @@ def test_boundaries(spark):
     assert bounds(spark, "abc") == ("sin_inicio", "fin_archivo", "abc")
     assert bounds(spark, "😀\nABSTRACT\nx\nINTRODUCCIÓN\ny\nAgradecimientos a z") == ("introduccion", "agradecimientos", "INTRODUCCIÓN\ny")
     assert bounds(spark, "Antecedentes\nx\n Recibido : hoy") == ("antecedentes", "recibido", "Antecedentes\nx")
+    assert bounds(spark, "Introduccionismo\nx\nIntroduccion\ny\nReferenciasX\nz\nReferencias\nw") == ("introduccion", "referencias", "Introduccion\ny\nReferenciasX\nz")
     assert bounds(spark, None) == (None, None, None)
 
 
