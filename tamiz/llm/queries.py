@@ -7,18 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
 from . import density, encoding, language, leakage, lines, mixing, quality, quota, spam, truncation
 from .common import cut, table
 
+def _tasks(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return spread(table(spark, sf, "preanot").select("task_id", *columns, "text"))
+
+
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
+
+
 TOKENIZERS = "/opt/tokenizers"  # vocabulary files of public tokenizers; a parameter, never copied
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.repeated_lines(table(spark, sf, "preanot"), exact=True).select("task_id", "line_no").distinct()
+    return lines.repeated_lines(_tasks(spark, sf, "pid"), exact=True).select("task_id", "line_no").distinct()
 
 
 def p1_clean(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "preanot").select("task_id", "pid", "text")
+    texts = _tasks(spark, sf, "pid")
     return lines.without_lines(texts, lines.repeated_lines(texts).select("task_id", "line_no"))
 
 
@@ -41,35 +50,35 @@ def p2_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return density.page_parts(table(spark, sf, "preanot"))
+    return density.page_parts(_tasks(spark, sf))
 
 
 def p3_main(spark: SparkSession, sf: str) -> DataFrame:
-    return density.main_content(table(spark, sf, "preanot"))
+    return density.main_content(_tasks(spark, sf))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.not_prose(table(spark, sf, "preanot")).select("task_id")
+    return quality.not_prose(_tasks(spark, sf)).select("task_id")
 
 
 def p4_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.text_statistics(table(spark, sf, "preanot"))
+    return quality.text_statistics(_tasks(spark, sf))
 
 
 def p4_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.outlier_scores(cut(quality.text_statistics(table(spark, sf, "preanot"))))
+    return quality.outlier_scores(cut(quality.text_statistics(_tasks(spark, sf))))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return truncation.endings(table(spark, sf, "preanot")).where("verdict = 'cut'").select("task_id")
+    return truncation.endings(_tasks(spark, sf, "pid")).where("verdict = 'cut'").select("task_id")
 
 
 def p5_sources(spark: SparkSession, sf: str) -> DataFrame:
-    return truncation.source_rates(truncation.endings(table(spark, sf, "preanot")))
+    return truncation.source_rates(truncation.endings(_tasks(spark, sf, "pid")))
 
 
 def _p6(spark: SparkSession, sf: str) -> DataFrame:
-    tasks = encoding.texts_of("preanot", table(spark, sf, "preanot"), F.col("task_id"), F.col("text"))
+    tasks = encoding.texts_of("preanot", _tasks(spark, sf), F.col("task_id"), F.col("text"))
     return tasks.unionByName(encoding.texts_of("candidatos", table(spark, sf, "candidatos"), F.col("pid"), F.col("titulo")))
 
 
@@ -82,8 +91,7 @@ def p6_restored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _p7(spark: SparkSession, sf: str) -> DataFrame:
-    tasks = table(spark, sf, "preanot")
-    return language.languages(tasks, language.fit(tasks))
+    return language.languages(_tasks(spark, sf, "pid"), language.fit(table(spark, sf, "preanot")))
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,15 +103,15 @@ def p7_languages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
-    return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("doc_id", "item_id")
+    return leakage.leaks(_documents(spark, sf), table(spark, sf, "eval_items")).select("doc_id", "item_id")
 
 
 def p8_items(spark: SparkSession, sf: str) -> DataFrame:
-    return leakage.item_report(leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items")))
+    return leakage.item_report(leakage.leaks(_documents(spark, sf), table(spark, sf, "eval_items")))
 
 
 def _p9(spark: SparkSession, sf: str, tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
-    return cut(mixing.sized(table(spark, sf, "documents"), tokenizer=tokenizer)), table(spark, sf, "mezcla_metas")
+    return cut(mixing.sized(_documents(spark, sf), tokenizer=tokenizer)), table(spark, sf, "mezcla_metas")
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,11 +128,11 @@ def p9_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
-    return spam.spam(table(spark, sf, "documents")).select("doc_id").distinct()
+    return spam.spam(_documents(spark, sf)).select("doc_id").distinct()
 
 
 def p10_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return spam.scores(table(spark, sf, "documents")).select("doc_id", "bits", F.round("centre", 4).alias("centre"), F.round("spread", 4).alias("spread"))
+    return spam.scores(_documents(spark, sf)).select("doc_id", "bits", F.round("centre", 4).alias("centre"), F.round("spread", 4).alias("spread"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
