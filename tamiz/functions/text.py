@@ -29,6 +29,11 @@ def fold_pairs() -> tuple[str, str]:
 FOLD_FROM, FOLD_TO = fold_pairs()
 
 
+def let(value: Column, f) -> Column:
+    """f of a column that is computed once a row, however often f names it; conditional branches would compute it again each."""
+    return F.transform(F.array(value), f)[0]
+
+
 def _beyond_ascii(x: Column, f) -> Column:
     """f of a text that has more than ASCII, the text itself otherwise: translation looks each character up, most texts need none."""
     return F.when(x.rlike(r"[^\x00-\x7f]"), f(x)).otherwise(x)
@@ -71,12 +76,16 @@ def word_count(x: Column) -> Column:
 
 def smart_trim(x: Column, most: int = 650) -> Column:
     """White space squeezed; a longer text is cut, after its last full stop if that lies in the second half, else with an ellipsis."""
-    flat = strip(F.regexp_replace(x, f"{WS}+", " "))
-    head = F.substring(flat, 1, most)
-    back = F.locate(" .", F.reverse(head))  # the last full stop with a blank after it
-    stop = F.length(head) - back  # characters up to the stop
-    cut = F.when((back > 0) & (stop - 1 > most * 0.5), F.substring(head, F.lit(1), stop)).otherwise(F.concat(F.regexp_replace(head, r"[ ,;:]+\z", ""), F.lit("…")))
-    return F.when(F.length(flat) <= most, flat).otherwise(cut)
+
+
+    def trimmed(flat: Column) -> Column:
+        head = F.substring(flat, 1, most)
+        back = F.locate(" .", F.reverse(head))  # the last full stop with a blank after it
+        stop = F.length(head) - back  # characters up to the stop
+        cut = F.when((back > 0) & (stop - 1 > most * 0.5), F.substring(head, F.lit(1), stop)).otherwise(F.concat(F.regexp_replace(head, r"[ ,;:]+\z", ""), F.lit("…")))
+        return F.when(F.length(flat) <= most, flat).otherwise(cut)
+
+    return let(strip(F.regexp_replace(x, f"{WS}+", " ")), trimmed)
 
 
 def quote(x: Column) -> Column:
@@ -91,6 +100,5 @@ def flexible_find(text: Column, fragment: Column) -> Column:
     """
     exact = F.instr(text, fragment) - 1
     words = F.filter(F.split(strip(fragment), f"{WS}+"), lambda w: w != "")
-    parts = F.split(text, F.array_join(F.transform(words, quote), f"{WS}+"), 2)
-    loose = F.when((F.size(words) >= 2) & (F.size(parts) > 1), F.length(parts[0])).otherwise(-1)
+    loose = let(words, lambda ws: F.when(F.size(ws) >= 2, let(F.split(text, F.array_join(F.transform(ws, quote), f"{WS}+"), 2), lambda p: F.when(F.size(p) > 1, F.length(p[0])).otherwise(-1))).otherwise(-1))
     return F.coalesce(F.when(F.length(fragment) < 4, F.lit(-1)).when(exact >= 0, exact).otherwise(loose), F.lit(-1)).cast("int")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
-from ..functions.text import canon, lines, strip, unix_lines
+from ..functions.text import canon, let, lines, strip, unix_lines
 
 
 def _lookup(table: dict[str, tuple[str, ...]]) -> Column:
@@ -25,14 +25,13 @@ HEAD = 80  # characters that decide on a heading: all are shorter, with room for
 
 def head_of(line: Column) -> Column:
     """The canonical first characters of a line; a longer line is marked by a sign that no heading has, behind its head."""
-    s = strip(line)
-    bare = F.regexp_replace(s, r"[ .:;-]+\z", "")
-    return F.when(F.length(bare) <= HEAD, canon(bare)).otherwise(F.concat(canon(F.substring(s, 1, HEAD)), F.lit("|")))
+    bare = F.regexp_replace(strip(line), r"[ .:;-]+\z", "")
+    return let(bare, lambda b: F.when(F.length(b) <= HEAD, canon(b)).otherwise(F.concat(canon(F.substring(b, 1, HEAD)), F.lit("|"))))
 
 
 def section_of(line: Column, table: dict[str, tuple[str, ...]] = D.SECTIONS) -> Column:
     """The section that a line opens: a heading, or one that begins the line with text after it; null if none."""
-    return section_of_canon(head_of(F.coalesce(line, F.lit(""))), table)
+    return let(head_of(F.coalesce(line, F.lit(""))), lambda u: section_of_canon(u, table))
 
 
 def section_of_canon(u: Column, table: dict[str, tuple[str, ...]] = D.SECTIONS) -> Column:

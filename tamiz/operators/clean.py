@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
-from ..functions.text import WS, flexible_find, fold, split_lines, strip, word_count
+from ..functions.text import WS, flexible_find, fold, let, split_lines, strip, word_count
 
 
 def site_noise(line: Column) -> Column:
@@ -23,7 +23,7 @@ _NUMBERS = rf"^(?:[\p{{Nd}}.–-]|{WS})++\z"
 
 def noise_kind(line: Column) -> Column:
     """'sitio', 'leyenda', 'issn' or 'numeros' for the first test that a line meets, else null."""
-    return _noise_kind(strip(line))
+    return let(strip(line), _noise_kind)
 
 
 def _noise_kind(s: Column) -> Column:
@@ -70,13 +70,19 @@ def _first_of(text: Column, patterns: tuple[tuple[str, str], ...], shift: Column
     written = [(label, pattern.replace("{w}", WS)) for label, pattern in patterns]
     any_ = rf"(?iuU)\n{WS}*(?:{'|'.join(f'(?:{p})' for _, p in written)})"
     # one search for all: the leftmost match wins, and at one place the first pattern; its label is read off the short match
-    parts = F.split(text, any_, 2)
-    found = F.size(parts) > 1
-    match = F.substring(text, F.length(parts[0]) + 1, F.length(text) - F.length(parts[0]) - F.length(parts[1]))
-    label = F.lit(written[-1][0])
-    for name, pattern in reversed(written[:-1]):
-        label = F.when(match.rlike(rf"(?iuU)^\n{WS}*(?:{pattern})"), name).otherwise(label)
-    return F.when(found, F.struct((F.length(parts[0]) + shift).alias("pos"), label.alias("label")))
+
+
+    def name_of(match: Column) -> Column:
+        label = F.lit(written[-1][0])
+        for name, pattern in reversed(written[:-1]):
+            label = F.when(match.rlike(rf"(?iuU)^\n{WS}*(?:{pattern})"), name).otherwise(label)
+        return label
+
+    def place(parts: Column) -> Column:
+        match = F.substring(text, F.length(parts[0]) + 1, F.length(text) - F.length(parts[0]) - F.length(parts[1]))
+        return F.when(F.size(parts) > 1, F.struct((F.length(parts[0]) + shift).alias("pos"), let(match, name_of).alias("label")))
+
+    return let(F.split(text, any_, 2), place)
 
 
 def boundaries(df: DataFrame, text: str = "cleaned") -> DataFrame:

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
-from ..functions.text import WS, fold
+from ..functions.text import WS, fold, let
 
 
 def any_term(folded: Column, terms: tuple[str, ...]) -> Column:
     """Whether a folded text contains one of the terms, as a part of a word too. False for null."""
-    return F.coalesce(reduce(lambda a, b: a | b, (F.contains(folded, F.lit(t)) for t in terms)), F.lit(False))
+    return F.coalesce(folded.rlike("|".join(re.escape(t) for t in terms)), F.lit(False))
 
 
 def relevance(title: Column, abstract: Column | None = None, strong: tuple[str, ...] = D.ONCOLOGY_STRONG, weak: tuple[str, ...] = D.ONCOLOGY_WEAK) -> Column:
@@ -34,9 +35,13 @@ def english_title(title: Column, words: tuple[str, ...] = D.ENGLISH_TITLE_WORDS)
 
 def english_body(text: Column, headings: tuple[str, ...] = D.ENGLISH_HEADINGS, head: int = 4000) -> Column:
     """At least two English headings at line starts of the first ``head`` characters, without 'discusion' there. Null texts are not."""
-    t = fold(F.substring(text, 1, head))
-    hits = reduce(lambda a, b: a + b, (F.concat(F.lit("\n"), t).rlike(rf"(?U)\n{WS}*\Q{h}\E\b").cast("int") for h in headings))
-    return F.coalesce((hits >= 2) & ~F.contains(t, F.lit("discusion")), F.lit(False))
+
+
+    def two(t: Column) -> Column:
+        hits = reduce(lambda a, b: a + b, (F.concat(F.lit("\n"), t).rlike(rf"(?U)\n{WS}*\Q{h}\E\b").cast("int") for h in headings))
+        return ~F.contains(t, F.lit("discusion")) & (hits >= 2)
+
+    return F.coalesce(F.when(text.isNotNull(), let(fold(F.substring(text, 1, head)), two)), F.lit(False))
 
 
 def looks_spanish(text: Column) -> Column:
