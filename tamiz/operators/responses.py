@@ -45,3 +45,9 @@ def first_match(rules: list[tuple[Column, str]], default: str) -> Column:
     for c, n in rules[1:]:
         out = out.when(c, n)
     return out.otherwise(default)
+
+
+def prompt(text: Column, template: str, most: int = 60_000) -> Column:
+    """A request: the template with a text's first ``most`` characters in place of ``{text}``; null for a null text."""
+    before, _, after = template.partition("{text}")
+    return F.concat(F.lit(before), F.substring(text, 1, most), F.lit(after))

@@ -231,6 +231,19 @@ SELECT ab.task_id, coalesce(own, fb.s, '') AS resumen FROM ab LEFT JOIN fb USING
   WHEN NOT list_contains(structure, 'Resumen') AND coalesce(nlines, 0) <= 10 THEN 'Imagen / nota breve (inferido)' ELSE 'Indeterminado' END) AS tipo FROM r)
 SELECT n, format('[{:03d}] {}', n, task_id) || chr(10) || 'TIPO: ' || tipo || chr(10) || 'TITULO: ' || coalesce(title, '-') || chr(10) || 'ESTRUCTURA: ' || coalesce(array_to_string(structure, ' › '), '') AS card
 FROM (SELECT *, row_number() OVER (ORDER BY task_id::VARCHAR) AS n FROM ft)""",
+        "decision_ladder": _CATALOGUE
+        + f""", en AS (SELECT task_id, {fold("left(text, 4000)")} AS h, text FROM preanot),
+dl AS (SELECT task_id, CASE WHEN regexp_matches({fold("title")}, '\\b({"|".join(D.ENGLISH_TITLE_WORDS)})\\b') AND NOT regexp_matches(coalesce(title, ''), '[áéíóúñ]') THEN 'DESCARTADO'
+  WHEN text IS NOT NULL AND ({heads}) >= 2 AND NOT contains(h, 'discusion') THEN 'DESCARTADO'
+  WHEN NOT list_has_any(structure, ['Introducción', 'Caso clínico']) THEN 'REVISAR' ELSE 'SELECCIONADO' END AS decision FROM r JOIN en USING (task_id))
+SELECT task_id, decision FROM dl""",
+        "decision_counts": _CATALOGUE
+        + f""", en AS (SELECT task_id, {fold("left(text, 4000)")} AS h, text FROM preanot),
+dl AS (SELECT task_id, CASE WHEN regexp_matches({fold("title")}, '\\b({"|".join(D.ENGLISH_TITLE_WORDS)})\\b') AND NOT regexp_matches(coalesce(title, ''), '[áéíóúñ]') THEN 'DESCARTADO'
+  WHEN text IS NOT NULL AND ({heads}) >= 2 AND NOT contains(h, 'discusion') THEN 'DESCARTADO'
+  WHEN NOT list_has_any(structure, ['Introducción', 'Caso clínico']) THEN 'REVISAR' ELSE 'SELECCIONADO' END AS decision FROM r JOIN en USING (task_id))
+SELECT decision, count(*) AS n FROM dl GROUP BY decision""",
+        "prompt_build": "SELECT task_id, md5('Clasifica:' || chr(10) || left(text, 60000) || chr(10) || 'Fin') AS huella, length(left(text, 100))::INT AS largo FROM preanot",
         "boundary_start": _BOUNDS + "SELECT task_id, sl AS inicio, st AS lugar FROM k",
         "boundary_end": _BOUNDS + "SELECT task_id, el AS fin, en AS lugar FROM k",
         "core_slice": _BOUNDS + "SELECT task_id, core FROM k",

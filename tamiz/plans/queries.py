@@ -14,6 +14,7 @@ from ..functions.udfs import fold_exact, html_to_text, nfc
 from ..operators import calls, catalog, clean, entities, relational, relevance, responses, sampling
 from ..session import spread
 from ..streaming import incremental
+from . import pipeline
 from .oracle import oracle_sql
 
 __all__ = ["oracle_sql", "queries"]
@@ -311,6 +312,23 @@ def catalog_cards(spark, sf):
     return catalog.cards(catalog.catalogue(_t(spark, sf, "preanot").select(F.col("task_id").cast("string").alias("pid"), "text")))
 
 
+@query
+def decision_ladder(spark, sf):
+    """The first rule that a text meets, by language and sections."""
+    d = catalog.catalogue(_texts(spark, sf, "task_id", "text"))
+    return d.select("task_id", pipeline.decision(F.col("title"), F.col("text"), F.col("structure")).alias("decision"))
+
+
+@query
+def decision_counts(spark, sf):
+    return decision_ladder(spark, sf).groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def prompt_build(spark, sf):
+    return _t(spark, sf, "preanot").select("task_id", F.md5(responses.prompt(F.col("text"), "Clasifica:\n{text}\nFin")).alias("huella"), F.length(responses.prompt(F.col("text"), "{text}", 100)).alias("largo"))
+
+
 # --- boundaries ---
 
 

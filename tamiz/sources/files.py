@@ -60,3 +60,15 @@ def one_json_file(df: DataFrame, order: str, path: str) -> None:
         for i, (row,) in enumerate(df.orderBy(order).select("task").toLocalIterator()):
             f.write((",\n" if i else "\n") + row)
         f.write("\n]\n")
+
+
+def write_texts(df: DataFrame, directory: str, name: str = "pid", text: str = "text") -> None:
+    """A file <name>.txt for each row in a folder that all executors see; null texts give empty files. A repeated task writes the same."""
+
+    def write(rows) -> None:
+        from pathlib import Path
+
+        for n, t in rows:
+            Path(directory, f"{n}.txt").write_text(t or "", encoding="utf-8")
+
+    df.select(name, text).foreachPartition(write)
