@@ -54,6 +54,19 @@ def scan(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Iterable[
     return df.mapInArrow(run, schema)
 
 
+BUCKETS = 1 << 18
+
+
+def narrowed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of df whose key may be in ``ids``, for a join that follows: few ids then shuffle few texts.
+
+    The keys' buckets are broadcast, at most BUCKETS numbers however many ids there are; many ids merely narrow less.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("_bucket")
+    near = ids.select(bucket).distinct()
+    return df.withColumn("_bucket", bucket).join(F.broadcast(near), "_bucket", "left_semi").drop("_bucket")
+
+
 def journal(pid: Column) -> Column:
     """The ISSN that a pid holds in its characters 2 to 10; a written ISSN of the same pid never contradicts it."""
     return F.substring(pid, 2, 9)

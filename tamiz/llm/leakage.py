@@ -17,7 +17,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from .common import cut, scan
+from .common import cut, narrowed, scan
 from .pages import FUNCTION, fold
 
 MOST_ITEMS = 100_000
@@ -123,7 +123,7 @@ def leaks(corpus: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
                 yield doc, item, shift
 
     near = scan(shifted.select("doc", "item", "shift", "js"), f"doc {kind}, item bigint, shift int", meet)
-    per = near.groupBy("doc").agg(F.collect_set(F.struct("item", "shift")).alias("s"))
+    per = cut(near.groupBy("doc").agg(F.collect_set(F.struct("item", "shift")).alias("s")))
 
     def confirm(it):
         for k, t, s in it:
@@ -136,7 +136,7 @@ def leaks(corpus: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
             for item, (n, at) in best.items():
                 yield k, item, n, at
 
-    both = corpus.select(F.col(key).alias("doc"), text).join(per, "doc")
+    both = narrowed(corpus.select(F.col(key).alias("doc"), text), per, "doc").join(per, "doc")
     return scan(both.select("doc", text, "s"), out, confirm).groupBy(key, "item_id").agg(F.max("words").alias("words"), F.min("item_start").alias("item_start"))
 
 
