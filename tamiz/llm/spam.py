@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, scan
+from .common import cut, narrowed, scan
 from .pages import FUNCTION
 
 _TOKEN = re.compile(r"https?://\S+|www\.\S+|#\w+|\d[\d.,]*|[^\W\d_]+|\n|[^\w\s]")
@@ -222,6 +222,6 @@ def spam(df: DataFrame, key: str = "doc_id", text: str = "text", deviations: flo
     Repeated rows give repeated rows; an empty table gives an empty result.
     """
     kind = df.schema[key].dataType.simpleString()
-    odd = scores(df, key, text).where(F.abs(F.col("bits") - F.col("centre")) > deviations * F.col("spread")).select(key, "bits")
-    both = df.select(key, text).join(odd.dropDuplicates([key]), key)
+    odd = cut(scores(df, key, text).where(F.abs(F.col("bits") - F.col("centre")) > deviations * F.col("spread")).select(key, "bits").dropDuplicates([key]))
+    both = narrowed(df.select(key, text), odd, key).join(odd, key)
     return scan(both.select(key, text, "bits"), f"{key} {kind}, bits double, keyword_share double", lambda it: ((k, b, round(s, 4)) for k, t, b in it if (s := keyword_share(t)) > share))
