@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
 from ..functions.text import canon, let, lines, strip, unix_lines
+from ..session import cut
 
 
 def _lookup(table: dict[str, tuple[str, ...]]) -> Column:
@@ -146,7 +147,7 @@ def cards(cat: DataFrame, key: str = "pid", lead: int = 3) -> DataFrame:
     The numbers come from range-partitioned running totals, so the report is not sorted in one task.
     """
     numbered = cat.repartitionByRange(key).sortWithinPartitions(key, "title").withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id())
-    numbered = numbered.checkpoint()
+    numbered = cut(numbered)  # the numbers of partitions and rows must come from one run
     sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("c"), F.min("row").alias("first"))  # one row a partition
     a, b = sizes.alias("a"), sizes.alias("b")
     offset = a.join(b, F.col("b.part") < F.col("a.part"), "left").groupBy(F.col("a.part").alias("part"), F.col("a.first").alias("first")).agg(F.coalesce(F.sum("b.c"), F.lit(0)).alias("before"))

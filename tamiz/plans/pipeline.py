@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import word_count
 from ..operators import catalog, clean, entities, relational, relevance, responses, sampling
+from ..session import cut
 
 
 @dataclass(frozen=True)
@@ -50,6 +51,7 @@ def sample(curated: DataFrame, settings: Settings = Settings()) -> tuple[DataFra
     """(drawn, reserve) of the selected texts with enough words, in proportion to their journals."""
     issn, _ = catalog.pid_parts(F.col("pid"))
     pool = curated.where((F.col("decision") == "SELECCIONADO") & (word_count(F.col("core")) >= settings.least_words)).select("pid", issn.alias("stratum"), word_count(F.col("core")).alias("palabras"))
+    pool = cut(pool)  # the draw reads it several times
     quotas = sampling.allocate(pool.groupBy("stratum").agg(F.count(F.lit(1)).alias("size")), settings.sample)
     drawn = sampling.draw(pool, quotas, "pid", seed=settings.seed)
     return drawn, sampling.reserve(pool, drawn, "pid")

@@ -48,11 +48,6 @@ def _shared(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tamiz-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
 
 
-def _checkpointed(spark: SparkSession) -> None:
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(_shared(spark))
-
-
 # --- titles ---
 
 
@@ -308,7 +303,6 @@ def abstract_extract(spark, sf):
 
 @query
 def catalog_cards(spark, sf):
-    _checkpointed(spark)
     return catalog.cards(catalog.catalogue(_t(spark, sf, "preanot").select(F.col("task_id").cast("string").alias("pid"), "text")))
 
 
