@@ -1,8 +1,7 @@
-"""What the text operators share: reading, scanning texts in Arrow batches, and cutting lineage in the shared folder."""
+"""What the text operators share: reading, scanning texts in Arrow batches, running totals, and narrowing joins."""
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -11,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from ..session import cut
+
+__all__ = ["cut", "journal", "narrowed", "running_total", "scan", "table", "unit"]
+
 ROWS_A_BATCH = 5_000
 
 
@@ -18,14 +21,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder of the cluster (``spark.checkpoint.dir``) and read again: they outlive an executor."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():  # only tests and single machines leave the setting out
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tamiz-"))
-    return df.checkpoint()
-
-
 def scan(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Iterable[tuple]]) -> DataFrame:
     """``rows`` maps the rows of a partition, as tuples, to tuples of ``schema``; batches cross to Python and back as Arrow."""
     names = [x.name for x in _parse_datatype_string(schema).fields]
