@@ -1,12 +1,15 @@
 """Problem 1: lines repeated across the documents of one source.
 
 1. One pass cuts each text into lines and folds them. A line's key is the hash of its journal and of its letters and digits without
-   case and accents. Its mask has numbers and dates as 0 and capitalised names inside the line as X; a one-permutation MinHash of the
-   mask's five-word shingles is its sketch. Keys and sketches are written once; no text is shuffled.
+   case and accents. Its mask has numbers and dates as 0 and capitalised names inside the line as X; the set of the mask's five-word
+   shingles, as 32-bit hashes in order, is kept once for each mask of a journal. No text is shuffled.
 2. (key, pid) is made distinct, then counted by key: two steps, so no journal and no line is a hot group.
-3. Keys of a journal whose sketches share a band form a bucket, whose least key is its hub; a key joins the least hub whose sketch is
-   at least 0.8 similar, and hubs' hubs are followed once more. Only keys, never pairs within a bucket, are produced.
-4. A cluster is boilerplate if its lines occur in at least ``least`` distinct pids and ``share`` of the journal's distinct pids.
+3. Two sets of Jaccard similarity 0.8 share one of their least shingles (prefix filter: of n the n - ceil(0.8 n) + 1 least), so masks of
+   a journal that share one form a bucket. A set's parity is 64 bits, each shingle turns one over: parities differ in no more bits than
+   the sets do in shingles, so members without another of fit parity and size go. The others are compared by the exact similarity; no
+   pair of 0.8 is missed.
+4. The links are followed to a fixed point; a component is a cluster. It is boilerplate if its lines occur in at least ``least``
+   distinct pids and ``share`` of the journal's distinct pids.
 5. ``exact=True`` then keeps of these the lines that reach both bounds by themselves. Copies share a key, so no step loses any.
 """
 
@@ -16,14 +19,15 @@ import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, journal, narrowed, scan
 
-BINS, BANDS, ROWS, SHINGLE = 16, 4, 3, 5  # a pair shares a band with probability 1 - (1 - s**3)**4: 0.94 at 0.8, 0.99 at 0.9
-ALIKE = 13  # equal bins of 16 at a similarity of 0.8; bins are compared by 4 bits each
+SHINGLE = 5
+SIMILAR = (4, 5)  # the least Jaccard similarity of a pair, 0.8, as a fraction
 _WORDS = re.compile(r"[^\W_]+")
 _MASK = (1 << 64) - 1
 _CHUNK = 4_000
@@ -54,11 +58,8 @@ class _Hashes(dict):
         return out
 
 
-def sketches(masks: list[list[str]], known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(bands, signature) of each mask: BANDS int64, and one int64 of 4 bits for each of BINS bins.
-
-    One-permutation MinHash: a shingle's hash falls into a bin, each bin keeps its least, empty bins borrow from the next ones.
-    """
+def shingles(masks: list[list[str]], known: dict[str, int]) -> tuple[list[bytes], list[int]]:
+    """The set of each mask's shingles: different 32-bit hashes, least first, packed; and its parity."""
     sizes = np.array([max(len(m), SHINGLE) for m in masks])
     flat = np.array([h for m in masks for h in (*map(known.__getitem__, m), *(0,) * (SHINGLE - len(m)))], dtype=np.uint64)
     with np.errstate(over="ignore"):
@@ -68,35 +69,26 @@ def sketches(masks: list[list[str]], known: dict[str, int]) -> tuple[np.ndarray,
         total ^= total >> np.uint64(33)
         total *= np.uint64(0xFF51AFD7ED558CCD)
         total ^= total >> np.uint64(29)
-        line = np.repeat(np.arange(len(masks), dtype=np.int64), sizes)[: len(total)]
-        whole = np.arange(len(total)) + SHINGLE <= np.cumsum(sizes)[line]
-        total, line = total[whole], line[whole]
-        cell = line * BINS + (total & np.uint64(BINS - 1)).astype(np.int64)
-        both = np.sort((cell.astype(np.uint64) << np.uint64(32)) | (total >> np.uint64(32)))  # fewer than 2**28 lines at once
-        cell = (both >> np.uint64(32)).astype(np.int64)
-        first = np.flatnonzero(np.diff(cell, prepend=-1))
-        out = np.zeros(len(masks) * BINS, dtype=np.uint64)
-        full = np.zeros(len(masks) * BINS, dtype=bool)
-        out[cell[first]], full[cell[first]] = both[first] & np.uint64(0xFFFFFFFF), True
-        out, full = out.reshape(-1, BINS), full.reshape(-1, BINS)
-        for _ in range(BINS - 1):
-            if full.all():
-                break
-            out = np.where(full, out, (np.roll(out, -1, axis=1) + np.uint64(0x3C6EF372)) & np.uint64(0xFFFFFFFF))
-            full = full | np.roll(full, -1, axis=1)
-        odd = np.uint64(0x9E3779B97F4A7C15)
-        bands = np.stack([((out[:, b * ROWS] * odd + out[:, b * ROWS + 1]) * odd + out[:, b * ROWS + 2]) * np.uint64(2 * b + 1) for b in range(BANDS)], axis=1)
-        mixed = out * np.uint64(0x9E3779B1)
-        nibbles = (mixed >> np.uint64(20)) & np.uint64(15)
-        signature = (nibbles << (np.arange(BINS, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64)
-    return bands.view(np.int64), signature.view(np.int64)
+    line = np.repeat(np.arange(len(masks), dtype=np.uint64), sizes)[: len(total)]
+    whole = np.arange(len(total)) + SHINGLE <= np.cumsum(sizes)[line.astype(np.int64)]
+    both = np.unique((line[whole] << np.uint64(32)) | (total[whole] >> np.uint64(32)))
+    packed = (both & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+    ends = np.searchsorted(both >> np.uint64(32), np.arange(len(masks) + 1, dtype=np.uint64)) * 4
+    parity = np.bitwise_xor.reduceat(np.uint64(1) << (both & np.uint64(63)), ends[:-1] // 4).view(np.int64)  # no set is empty
+    return [packed[a:b] for a, b in zip(ends, ends[1:])], parity.tolist()
+
+
+def prefix(n: int) -> int:
+    """How many of a set's n least shingles one of 0.8 has to share one of."""
+    return n - -(-n * SIMILAR[0] // SIMILAR[1]) + 1
 
 
 def keyed_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str = "text", shortest: int = 30) -> DataFrame:
     """Two kinds of rows, so that one pass over the texts makes both and both are small.
 
     (t, p, j, ns, ks) for a text: hashes of its pid and journal, numbers and keys of its lines of at least ``shortest`` letters and digits.
-    (fk, fs, f0, f1, f2, f3) for a stretch of texts: the different keys in it with their sketches' signatures and bands.
+    (fk, fm, sj, sm, ss, sb, st) for a stretch of texts: the different keys in it with their masks' hashes; journals, hashes, shingle sets,
+    parities and least shingles of the different masks that another can be similar to. A mask's hash is that of its journal and shingles.
     """
     kind = df.schema[key].dataType.simpleString()
 
@@ -106,11 +98,13 @@ def keyed_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str
 
         def flush():
             if fresh:
-                bands, signature = sketches([m for _, m in fresh.values()], known)
-                # a band's bucket lies within its journal
-                sites = np.array([j for j, _ in fresh.values()], dtype=np.int64)
-                folded = ((bands ^ sites[:, None]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                yield None, None, None, None, None, list(fresh), signature.tolist(), *(folded[:, i].tolist() for i in range(BANDS))
+                sets, parity = shingles([m for _, m in fresh.values()], known)
+                ms = [signed(xxhash.xxh64_intdigest(x, j & _MASK)) for (j, _), x in zip(fresh.values(), sets)]
+                # sets of up to three are similar only to equal ones
+                once = {m: (j, x, b) for m, (j, _), x, b in zip(ms, fresh.values(), sets, parity) if len(x) > 12}
+                js, xs, bs = zip(*once.values()) if once else ((), (), ())
+                least = [np.frombuffer(x, dtype="<i4")[: prefix(len(x) // 4)].tolist() for x in xs]
+                yield None, None, None, None, None, list(fresh), ms, js, list(once), xs, bs, least
             fresh.clear()
             if len(known) > 500_000:
                 known.clear()
@@ -131,33 +125,126 @@ def keyed_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str
                 if h not in fresh:
                     fresh[h] = (j, mask(words))
             if ns:
-                yield k, signed(xxhash.xxh64_intdigest(p)), j, ns, ks, None, None, None, None, None, None
+                yield k, signed(xxhash.xxh64_intdigest(p)), j, ns, ks, None, None, None, None, None, None, None
             if len(fresh) > _CHUNK:
                 yield from flush()
         yield from flush()
 
-    schema = f"t {kind}, p bigint, j bigint, ns array<int>, ks array<bigint>, fk array<bigint>, fs array<bigint>, f0 array<int>, f1 array<int>, f2 array<int>, f3 array<int>"
+    schema = f"t {kind}, p bigint, j bigint, ns array<int>, ks array<bigint>, fk array<bigint>, fm array<bigint>, sj array<bigint>, sm array<bigint>, ss array<binary>, sb array<bigint>, st array<array<int>>"
     return scan(df.where(F.col(text).isNotNull() & F.col(pid).isNotNull()).select(key, pid, text), schema, rows)
 
 
-def clusters(keys: DataFrame) -> DataFrame:
-    """(k, cluster) of the keys that join another's star; keys is (k, sig, b0, ...), keys may repeat."""
-    banded = keys.select("k", F.explode(F.array(*(f"b{i}" for i in range(BANDS)))).alias("band"))
-    hubs = banded.groupBy("band").agg(F.min("k").alias("hub"), F.max("k").alias("top")).where("hub < top").select("band", "hub")
-    pairs = cut(banded.join(hubs, "band").where("hub < k").select("k", "hub").distinct())
-    either = pairs.select("k").unionByName(pairs.select(F.col("hub").alias("k")))
-    signed_ = narrowed(keys.select("k", "sig"), either, "k")
-    differ = F.col("sig").bitwiseXOR(F.col("hubsig"))
-    for shift in (1, 2):  # a 4-bit group is zero only if its bins are equal
-        differ = differ.bitwiseOR(F.shiftrightunsigned(differ, shift))
-    equal = BINS - F.bit_count(differ.bitwiseAND(F.lit(0x1111111111111111)))
-    links = (
-        pairs.join(signed_, "k").join(signed_.select(F.col("k").alias("hub"), F.col("sig").alias("hubsig")), "hub")
-        .where(equal >= ALIKE).groupBy("k").agg(F.min("hub").alias("to"))
-    )
-    links = cut(links)
-    up = links.select(F.col("k").alias("to"), F.col("to").alias("next"))
-    return links.join(up, "to", "left").select("k", F.coalesce("next", "to").alias("cluster"))
+def links(sets: DataFrame) -> DataFrame:
+    """(m, to): masks of a journal that are at least 0.8 similar, enough of them to join all that are.
+
+    sets is (j, m, s, parity, least), rows may repeat. A bucket is the 64-bit hash of a journal and a shingle.
+    """
+    n = (F.length("s") / 4).cast("int").alias("n")
+    tokens = sets.select("j", "m", n, "parity", F.explode("least").alias("token")).select(F.xxhash64("j", "token").alias("bucket"), "token", "m", "n", "parity")
+    near = tokens.repartition("bucket").sortWithinPartitions("bucket", "n", "m").mapInArrow(fit, "bucket bigint, token int, m bigint")
+    members = cut(near)
+    one = narrowed(sets.select("m", "s"), members, "m").groupBy("m").agg(F.first("s").alias("s"))
+    buckets = members.join(one, "m").select("bucket", "token", "m", "s").repartition("bucket").sortWithinPartitions("bucket", "m")
+    return cut(scan(buckets, "m bigint, to bigint", compare).distinct())
+
+
+def fit(batches):
+    """Of buckets' members, in order of bucket, size and mask, those with another in their bucket that can be 0.8 similar by size and parity."""
+    def some(t: pa.Table) -> pa.RecordBatch:
+        bucket, token, m, n, parity = (t.column(c).to_numpy() for c in ("bucket", "token", "m", "n", "parity"))
+        first = np.ones(len(m), dtype=bool)
+        first[1:] = (bucket[1:] != bucket[:-1]) | (m[1:] != m[:-1])
+        bucket, token, m, n, parity = (x[first] for x in (bucket, token, m, n, parity))
+        good = np.zeros(len(m), dtype=bool)
+        i, away = np.arange(len(m)), 0
+        while len(i):  # each member with the one next to it, then the one after, as far as the sizes go
+            away += 1
+            i = i[i + away < len(m)]
+            i = i[(bucket[i] == bucket[i + away]) & (n[i + away] * SIMILAR[0] <= n[i] * SIMILAR[1])]
+            apart = np.bitwise_count((parity[i] ^ parity[i + away]).view(np.uint64)).astype(np.int64)
+            both = i[apart * sum(SIMILAR) <= (n[i] + n[i + away]) * (SIMILAR[1] - SIMILAR[0])]
+            good[both] = good[both + away] = True
+        return pa.RecordBatch.from_arrays([pa.array(x[good]) for x in (bucket, token, m)], names=["bucket", "token", "m"])
+
+    held = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) < 100_000:
+            continue
+        t = pa.Table.from_batches(held)
+        at = t.column("bucket").to_numpy()
+        end = int(np.searchsorted(at, at[-1]))  # the last bucket may go on
+        if end:
+            yield some(t.slice(0, end))
+        held = t.slice(end).to_batches()
+    if held:
+        yield some(pa.Table.from_batches(held))
+
+
+def compare(rows):
+    """The links of buckets, given as rows (bucket, shingle, mask, set) in order.
+
+    Each member is compared with those before it, but for ones that are joined with it already. A set similar to it shares two of
+    the least prefix() + 1 shingles, so only members with another one in common are looked at.
+    """
+    bucket = None
+    for b, token, m, s in rows:
+        if b != bucket:
+            bucket, index, sets, group = b, {}, [], []
+        x = np.frombuffer(s, dtype="<u4")
+        n, mine = len(x), frozenset(x.tolist())
+        least = [t for t in x[: prefix(n) + 1].tolist() if t != token & 0xFFFFFFFF]
+        me = len(sets)
+        group.append(me)
+        done = set()
+        for t in least:
+            for other in index.get(t, ()):
+                if other in done:
+                    continue
+                done.add(other)
+                to, theirs = sets[other]
+                k = len(theirs)
+                if min(n, k) * SIMILAR[1] < max(n, k) * SIMILAR[0] or _root(group, other) == _root(group, me):
+                    continue
+                both = len(mine & theirs)
+                if both * SIMILAR[1] >= (n + k - both) * SIMILAR[0]:
+                    a, b = sorted((_root(group, other), _root(group, me)))
+                    group[b] = a
+                    yield m, to
+        for t in least:
+            index.setdefault(t, []).append(me)
+        sets.append((m, mine))
+
+
+def _root(group: list[int], i: int) -> int:
+    while group[i] != i:
+        group[i] = i = group[group[i]]
+    return i
+
+
+def components(pairs: DataFrame) -> DataFrame:
+    """(m, cluster): the least mask that each mask of the links (m, to) is joined with, by large and small stars to a fixed point."""
+    edges, before = pairs.select(F.greatest("m", "to").alias("m"), F.least("m", "to").alias("to")), None
+    while True:
+        both = edges.unionByName(edges.select(F.col("to").alias("m"), F.col("m").alias("to")))
+        low = both.groupBy("m").agg(F.least(F.col("m"), F.min("to")).alias("low"))
+        large = cut(both.join(low, "m").where("to > m").select(F.col("to").alias("m"), F.col("low").alias("to")).distinct())
+        low = large.groupBy("m").agg(F.min("to").alias("low"))
+        small = large.join(low, "m")
+        edges = cut(small.select(F.col("to").alias("m"), F.col("low").alias("to")).where("m > to").unionByName(low.select("m", F.col("low").alias("to"))).distinct())
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("m", "to")), F.sum(F.shiftright(F.xxhash64("to", "m"), 32))).first()
+        if now == before:  # all are stars
+            break
+        before = now
+    return edges.select("m", F.col("to").alias("cluster")).unionByName(edges.select(F.col("to").alias("m"), F.col("to").alias("cluster")).distinct())
+
+
+def clusters(keys: DataFrame, sets: DataFrame) -> DataFrame:
+    """(k, cluster) of all keys of clusters of several keys; keys is (k, m), sets is that of links(), rows may repeat."""
+    tree = components(links(sets))
+    named = keys.distinct().join(tree, "m", "left").select("k", F.coalesce("cluster", "m").alias("c"))
+    several = cut(named.groupBy("c").agg(F.min("k").alias("cluster"), F.max("k").alias("top")).where("cluster < top").select("c", "cluster"))
+    return narrowed(named, several, "c").join(several, "c").select("k", "cluster")
 
 
 def repeated_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str = "text", least: int = 5, share_pm: int = 50, exact: bool = False) -> DataFrame:
@@ -173,12 +260,12 @@ def repeated_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text:
         texts.select("p", "j", F.explode("ks").alias("k")).groupBy("k", "p").agg(F.first("j").alias("j"))
         .groupBy("k").agg(F.count(F.lit(1)).alias("line_pids"), F.first("j").alias("j"))
     )
-    named = [F.col(c).alias(n) for c, n in (("fk", "k"), ("fs", "sig"), *((f"f{i}", f"b{i}") for i in range(BANDS)))]
-    keys = both.where("t is null").select(*named).select(F.inline(F.arrays_zip("k", "sig", *(f"b{i}" for i in range(BANDS)))))
-    star = cut(clusters(keys))
+    stretch = both.where("t is null")
+    keys = stretch.select(F.inline(F.arrays_zip("fk", "fm"))).toDF("k", "m")
+    sets = stretch.select(F.inline(F.arrays_zip("sj", "sm", "ss", "sb", "st"))).toDF("j", "m", "s", "parity", "least")
+    member = cut(clusters(keys, sets))
     total = _totals(df, pid)
-    # the pids of a cluster of several keys, each once: its hub and the keys that joined it
-    member = star.unionByName(star.select(F.col("cluster").alias("k"), "cluster")).distinct()
+    # the pids of a cluster of several keys, each once
     size = texts.select("p", F.explode("ks").alias("k")).join(member, "k").select("cluster", "p").distinct().groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
     sized = (
         counts.join(member, "k", "left").withColumn("cluster", F.coalesce("cluster", "k")).join(size, "cluster", "left")

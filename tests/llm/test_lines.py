@@ -61,6 +61,54 @@ def test_clusters_join_near_copies(spark):
     assert lines.repeated_lines(table(spark, data), exact=True).count() == 0  # none recurs by itself
 
 
+def near(data, least, share):
+    """(task, line, pids of its cluster) by brute force: components of the pairs of exact similarity 0.8 within a journal."""
+    grams, pids, at = {}, defaultdict(set), defaultdict(set)
+    for i, (p, t) in enumerate(data):
+        for n, x in enumerate(t.split("\n"), 1):
+            m = lines.mask(re.findall(r"[^\W_]+", lines.bare(x)))
+            g = frozenset(tuple(m[k:k + 5]) for k in range(max(1, len(m) - 4)))
+            grams[p[1:10], g] = (p[1:10], g)
+            pids[p[1:10], g].add(p)
+            at[p[1:10], g].add((i, n))
+
+    def root(x):
+        while grams[x] != x:
+            x = grams[x]
+        return x
+
+    every = list(grams)
+    for k, a in enumerate(every):
+        for b in every[:k]:
+            if a[0] == b[0] and len(a[1] & b[1]) * 5 >= len(a[1] | b[1]) * 4:
+                grams[root(a)] = root(b)
+    size, total = defaultdict(set), defaultdict(set)
+    for x in every:
+        size[root(x)] |= pids[x]
+    for p, _ in data:
+        total[p[1:10]].add(p)
+    return {(i, n, c) for x in every if (c := len(size[root(x)])) >= least and c * 1000 >= share * len(total[x[0]]) for i, n in at[x]}
+
+
+def test_no_similar_pair_is_missed(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghilmnopqrstu") for _ in range(r.randrange(3, 9)))
+    opening = [word() for _ in range(12)]  # families that share it are not similar to each other, and their lines are not copies
+    families = [opening + [word() for _ in range(r.randrange(30, 60))] for _ in range(25)]
+    data = []
+    for i in range(150):
+        base = list(families[i % 25])
+        for _ in range(1 + len(base) // 60):
+            base[r.randrange(12, len(base))] = word()
+        data.append((f"S{1111 + i % 2}-11112001{i:09d}", " ".join(base)))
+    chain = [word() for _ in range(60)]
+    for i in range(12):  # each is similar to the next ones only
+        chain[4 * i + 3] = word()
+        data.append((f"S1111-11112001{200 + i:09d}", " ".join(chain)))
+    got = {(x.task_id, x.line_no, x.cluster_pids) for x in lines.repeated_lines(table(spark, data), least=2, share_pm=1).collect()}
+    assert got == near(data, 2, 1) and {x[2] for x in got} >= {2, 3, 12}
+
+
 def test_clean(spark):
     data = corpus(2, 80)
     d = table(spark, data)
