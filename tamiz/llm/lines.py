@@ -10,7 +10,7 @@
    pair of 0.8 is missed.
 4. The links are followed to a fixed point; a component is a cluster. It is boilerplate if its lines occur in at least ``least``
    distinct pids and ``share`` of the journal's distinct pids.
-5. ``exact=True`` then keeps of these the lines that reach both bounds by themselves. Copies share a key, so no step loses any.
+5. ``exact=True`` finds the lines that reach both bounds by themselves; each is its own cluster, so steps 3 and 4 are left out.
 """
 
 from __future__ import annotations
@@ -260,19 +260,26 @@ def repeated_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text:
         texts.select("p", "j", F.explode("ks").alias("k")).groupBy("k", "p").agg(F.first("j").alias("j"))
         .groupBy("k").agg(F.count(F.lit(1)).alias("line_pids"), F.first("j").alias("j"))
     )
+    total = _totals(df, pid)
+    often = lambda n: (F.col(n) >= least) & (F.col(n) * 1000 >= F.col("pids") * share_pm)
+    if exact:  # a line that reaches the bounds by itself does so in any cluster
+        sized = counts.where(F.col("line_pids") >= least).join(total, "j").where(often("line_pids"))
+        return _occurrences(texts, cut(sized.select("k", F.col("k").alias("cluster"), F.col("line_pids").alias("cluster_pids"), "line_pids")), key)
     stretch = both.where("t is null")
     keys = stretch.select(F.inline(F.arrays_zip("fk", "fm"))).toDF("k", "m")
     sets = stretch.select(F.inline(F.arrays_zip("sj", "sm", "ss", "sb", "st"))).toDF("j", "m", "s", "parity", "least")
     member = cut(clusters(keys, sets))
-    total = _totals(df, pid)
     # the pids of a cluster of several keys, each once
     size = texts.select("p", F.explode("ks").alias("k")).join(member, "k").select("cluster", "p").distinct().groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
     sized = (
         counts.join(member, "k", "left").withColumn("cluster", F.coalesce("cluster", "k")).join(size, "cluster", "left")
         .withColumn("cluster_pids", F.coalesce("c", "line_pids")).where(F.col("cluster_pids") >= least).join(total, "j")
     )
-    often = lambda n: (F.col(n) >= least) & (F.col(n) * 1000 >= F.col("pids") * share_pm)
-    kept = cut(sized.where(often("cluster_pids") & often("line_pids") if exact else often("cluster_pids")).select("k", "cluster", "cluster_pids", "line_pids"))
+    kept = cut(sized.where(often("cluster_pids")).select("k", "cluster", "cluster_pids", "line_pids"))
+    return _occurrences(texts, kept, key)
+
+
+def _occurrences(texts: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     occurs = texts.select(F.col("t").alias(key), F.inline(F.arrays_zip("ns", "ks"))).select(key, F.col("ns").alias("line_no"), F.col("ks").alias("k"))
     return narrowed(occurs, kept, "k").join(kept, "k").drop("k")
 

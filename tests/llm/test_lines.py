@@ -109,6 +109,15 @@ def test_no_similar_pair_is_missed(spark):
     assert got == near(data, 2, 1) and {x[2] for x in got} >= {2, 3, 12}
 
 
+def test_components(spark):
+    r = random.Random(6)
+    n = list(range(80))
+    r.shuffle(n)
+    pairs = [(a, b) for a, b in zip(n[:60], n[1:60])] + [(n[60], b) for b in n[61:]]
+    got = {x.m: x.cluster for x in lines.components(spark.createDataFrame(pairs, "m bigint, to bigint")).collect()}
+    assert got == {m: min(n[:60]) for m in n[:60]} | {m: min(n[60:]) for m in n[60:]}
+
+
 def test_clean(spark):
     data = corpus(2, 80)
     d = table(spark, data)
