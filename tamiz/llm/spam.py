@@ -3,8 +3,8 @@
 A token is itself if it is a function word or a sign, else its class: word, Name, CAPS, number, link, hashtag, and "again" for a content
 word that follows the same content word as before in the text (a repeated phrase). The trigram model is trained on the corpus' sentences:
 lines that end like one, have the function words of one and repeat no phrase. Its counts are summed over all documents; they are
-bounded by the classes, not by the corpus. Each document's perplexity is set against the median and spread of all documents: pages
-abnormally high or low are candidates. Of these, the ones are found of which sentences that inform make up less than half (exact check).
+bounded by the classes, not by the corpus. Each document's perplexity is set against the median and spread of the documents that
+hold training lines, of those lines alone, so spam does not move the bound: pages abnormally high or low are candidates. Of these, the ones are found of which sentences that inform make up less than half (exact check).
 """
 
 from __future__ import annotations
@@ -164,10 +164,10 @@ def keyword_share(text: str) -> float:
                 pieces.append((key, len(w)))
     # short pieces that open with the same two content words again and again; a sentence has few of them
     bad += sum(n for key, n in pieces if phrases[key] >= 4)
-    if total < 8:
+    if not total:
         return 0.0
     word, top = max(content.items(), key=lambda x: (x[1], x[0]), default=("", 0))
-    if top > 0.12 * total:
+    if top > 0.12 * total and total >= 8:  # a word of fewer is a large share by itself
         parts = [_PLAIN.findall(x.lower()) for x in sentences(text)]
         thrice = sum(max((x.count(w) for w in set(x) if w not in FUNCTION and len(w) > 2), default=0) > 2 for x in parts)
         if thrice > 0.12 * len(parts) or sum(n for w, n in content.items() if w in _PROMOTION) > 0.04 * total:
@@ -176,9 +176,9 @@ def keyword_share(text: str) -> float:
 
 
 def scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, bits, centre, spread): bits a token under the prose model, and the median and robust deviation over all documents.
+    """(key, bits, centre, spread): bits a token under the prose model, and the median and robust deviation of the prose that trains it.
 
-    Null and blank texts are left out. The model's counts are summed over all documents and sent to every task; classes bound them.
+    Centre and spread are those of the documents' training lines, of all documents if none has any. Null and blank texts are left out. The model's counts are summed over all documents and sent to every task; classes bound them.
     """
     kind = df.schema[key].dataType.simpleString()
     coded = cut(scan(df.where(F.length(F.trim(text)) > 0).select(key, text), f"{key} {kind}, seq string", lambda it: ((k, classes(t)) for k, t in it)))
@@ -208,12 +208,16 @@ def scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     def score(it):
         for k, seq in it:
-            yield k, model.bits([seq])[0]
-
-    scored = cut(scan(coded, f"{key} {kind}, bits double", score))
-    middle = scored.agg(F.percentile_approx("bits", 0.5, 10000).alias("centre"))
-    spread = scored.join(F.broadcast(middle)).groupBy("centre").agg((F.percentile_approx(F.abs(F.col("bits") - F.col("centre")), 0.5, 10000) * 1.4826).alias("spread"))
-    return scored.join(F.broadcast(spread))
+            lines = training(seq)
+            yield k, model.bits([seq])[0], model.bits([_L.join(lines)])[0] if lines else None
+
+    scored = cut(scan(coded, f"{key} {kind}, bits double, prose double", score))
+    prose = scored.select("prose").where("prose is not null")
+    if prose.isEmpty():
+        prose = scored.select(F.col("bits").alias("prose"))
+    middle = prose.agg(F.percentile_approx("prose", 0.5, 10000).alias("centre"))
+    spread = prose.join(F.broadcast(middle)).groupBy("centre").agg((F.percentile_approx(F.abs(F.col("prose") - F.col("centre")), 0.5, 10000) * 1.4826).alias("spread"))
+    return scored.drop("prose").join(F.broadcast(spread))
 
 
 def spam(df: DataFrame, key: str = "doc_id", text: str = "text", deviations: float = 2.0, share: float = 0.5) -> DataFrame:

@@ -104,6 +104,15 @@ def test_spam(spark):
     assert spam.spam(d.limit(0)).count() == 0
 
 
+def test_spam_does_not_move_the_bound(spark):
+    prose = [PROSE.format(i, i % 7, i % 30) * (1 + i % 3) for i in range(80)]
+    table = lambda texts: spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bound = lambda texts: next((r.centre, r.spread) for r in spam.scores(table(texts)).limit(1).collect())
+    links = ["\n".join(f"http://a{i}.example/{k}" for k in range(1 + i % 7)) for i in range(40)]
+    assert bound(prose + SPAM * 8) == bound(prose) == bound(prose + links)
+    assert {r.doc_id for r in spam.spam(table(prose + links)).collect()} == set(range(80, 120))  # bare links, however few
+
+
 def test_keyword_share():
     assert spam.keyword_share("") == 0 and spam.keyword_share("uno dos") == 0
     assert all(spam.keyword_share(t) > 0.5 for t in SPAM) and all(spam.keyword_share(t) < 0.5 for t in FINE)
