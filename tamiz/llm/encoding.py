@@ -6,7 +6,9 @@
    UTF-8 or Latin-1): its characters are turned back into bytes, a lost byte is a wildcard, and the bytes are read again into letters,
    with several letters where a byte was lost. A Viterbi search under letter-pair frequencies of the corpus finds the best paths.
 3. Paths meet the corpus' word frequencies in a join. The best reading by path cost and frequency wins. A valid UTF-8 reading is
-   accepted as it stands, a one-byte reading if its word is far more frequent than the garbled one, a lost letter always.
+   accepted as it stands, a lost letter always. A one-byte reading is accepted if its word is far more frequent than the garbled one, or
+   occurs in records without suspect words and is better spelt, however common the damage is; a word that the corpus lacks if all
+   its restored letters' pairs occur, it has a plain vowel, its garbled signs are no letters in their place, and other words prove the channel.
 4. Texts that hold an accepted word are affected; their words can be replaced by the readings.
 """
 
@@ -34,6 +36,7 @@ _TOKEN = re.compile(r"[A-Za-z]*[^\x00-\x7f][^\x00-\x40\x5b-\x60\x7b-\x7f]*")
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _LOST = "�"
 _BEAM = 64
+_VOWELS = frozenset("aeiou")
 
 
 def words(text: str) -> list[str]:
@@ -170,35 +173,38 @@ def _accented(word: str) -> bool:
 
 
 def evidence(texts: DataFrame) -> DataFrame:
-    """From (tabla, clave, text): rows with tabla hold a suspect word of a text, rows without the count ``n`` of a lower-case word."""
+    """From (tabla, clave, text): rows with tabla hold a suspect word of a text, rows without the count ``n`` of a lower-case word, ``whole`` of
+    them in texts without suspect words."""
 
     def rows(it):
         n: Counter = Counter()
+        whole: Counter = Counter()
         for tabla, clave, text in it:
             if text.isascii():
                 continue
             found = words(text)
-            n.update(found)
-            for w in set(found):
-                if suspect(w):
-                    yield tabla, clave, w, 0
-            if len(n) > 300_000:
-                yield from lower(n)
-        yield from lower(n)
+            odd = {w for w in found if suspect(w)}
+            (n if odd else whole).update(found)
+            for w in odd:
+                yield tabla, clave, w, 0, 0
+            if len(n) + len(whole) > 300_000:
+                yield from lower(n, whole)
+        yield from lower(n, whole)
 
-    def lower(n: Counter):
-        out: Counter = Counter()
-        for w, c in n.items():
-            out[w.lower().strip(_EDGE)] += c
-        n.clear()
-        return [(None, None, w, c) for w, c in out.items()]
+    def lower(n: Counter, whole: Counter):
+        out: dict[str, list[int]] = {}
+        for k, counts in enumerate((n, whole)):
+            for w, c in counts.items():
+                out.setdefault(w.lower().strip(_EDGE), [0, 0])[k] += c
+            counts.clear()
+        return [(None, None, w, a + b, b) for w, (a, b) in out.items()]
 
-    return scan(texts.where(F.col("text").isNotNull() & F.col("clave").isNotNull()).select("tabla", "clave", "text"), "tabla string, clave string, word string, n bigint", rows)
+    return scan(texts.where(F.col("text").isNotNull() & F.col("clave").isNotNull()).select("tabla", "clave", "text"), "tabla string, clave string, word string, n bigint, whole bigint", rows)
 
 
 def readings(found: DataFrame, times: float = 4.0, seen: int = 3) -> DataFrame:
     """(word, reading, channel, freq) of the suspect words of ``evidence`` that are garbled, with the best reading of each."""
-    vocabulary = found.where("tabla is null").groupBy("word").agg(F.sum("n").alias("freq"))
+    vocabulary = found.where("tabla is null").groupBy("word").agg(F.sum("n").alias("freq"), F.sum("whole").alias("whole"))
     # letter pairs of the corpus' words with usual letters only: bounded by the alphabet
     usual = vocabulary.where(F.col("word").rlike(f"^[a-z{''.join(c for c in ACCENTED if c.islower())}]+$"))
     spelt = F.concat(F.lit("^"), F.col("word"))
@@ -207,23 +213,38 @@ def readings(found: DataFrame, times: float = 4.0, seen: int = 3) -> DataFrame:
     logs = {r.pair: math.log(r.n / total) for r in pairs}
     floor = math.log(0.1 / total)
 
+    def spelling(word: str, other: str = "") -> tuple[float, bool]:
+        """The cost of a word's letter pairs, and whether the corpus has all that another word lacks."""
+        ps, rest = ([a + b for a, b in zip("^" + w, w)] for w in (word, other))
+        return -sum(logs.get(p, floor) for p in ps), all(p in logs for p in ps if p not in rest)
+
     def rows(it):
         for (word,) in it:
+            low = word.lower().strip(_EDGE)
+            own = spelling(low)[0]
+            signs = len(low) >= 5 and not _VOWELS.isdisjoint(low) and all(c.isascii() or c in _USUAL and c.islower() or not c.isalpha() or c.isupper() and word[:i][-1:].islower() for i, c in enumerate(word))
             for channel, choices in lattices(word):
                 best = viterbi(choices, logs, floor)
                 least = best[0][0]
                 for cost, reading in best:
                     reading = unicodedata.normalize("NFC", reading)  # a combining accent may have been garbled by itself
                     if _accented(reading) and reading != word:
-                        yield word, word.lower().strip(_EDGE), reading, reading.lower().strip(_EDGE), channel, cost - least + (0.0 if "/utf8/" in channel else 2.0)
+                        key = reading.lower().strip(_EDGE)
+                        spelt, known = spelling(key, low)
+                        yield word, low, reading, key, channel, cost - least + (0.0 if "/utf8/" in channel else 2.0), own - spelt, signs and known
 
-    tried = scan(found.where("tabla is not null").select("word").distinct(), "word string, low string, reading string, key string, channel string, cost double", rows)
+    tried = scan(found.where("tabla is not null").select("word").distinct(), "word string, low string, reading string, key string, channel string, cost double, gain double, plain boolean", rows)
     rated = (
-        tried.join(vocabulary.select(F.col("word").alias("key"), "freq"), "key", "left").join(vocabulary.select(F.col("word").alias("low"), F.col("freq").alias("own")), "low", "left")
-        .fillna(0, ["freq", "own"]).withColumn("score", F.log1p("freq") * 2 - F.col("cost"))
+        tried.join(vocabulary.select(F.col("word").alias("key"), "freq", "whole"), "key", "left").join(vocabulary.select(F.col("word").alias("low"), F.col("freq").alias("own")), "low", "left")
+        .fillna(0, ["freq", "own", "whole"]).withColumn("score", F.log1p("freq") * 2 - F.col("cost"))
     )
     sure = F.col("channel").contains("/utf8/") | ((F.col("channel") == "lost") & (F.col("freq") > 0)) | ((F.col("channel") == "lost") & (F.length("low") > 3))
-    kept = rated.where(sure | ((F.col("freq") >= seen) & (F.col("freq") >= times * F.col("own"))))
+    rated = cut(rated.withColumn("kept", sure | ((F.col("freq") >= seen) & (F.col("freq") >= times * F.col("own"))) | ((F.col("whole") >= seen) & (F.col("gain") > 0))))
+    # a channel that words of the corpus prove also explains words that it lacks; the better spelt reading comes first
+    proven = rated.where("kept").groupBy("channel").agg(F.count_distinct("word").alias("w")).where(F.col("w") >= seen).select("channel")
+    held = rated.where("kept").select("word").distinct()
+    lacking = rated.where("plain and gain > 0").join(F.broadcast(proven), "channel").join(held, "word", "left_anti").withColumn("score", F.col("gain"))
+    kept = rated.where("kept").unionByName(lacking.select(*rated.columns))
     best = F.row_number().over(Window.partitionBy("word").orderBy(F.col("score").desc(), "channel", "reading"))  # a word has at most some hundred readings
     return kept.withColumn("r", best).where("r = 1").select("word", "reading", "channel", "freq")
 

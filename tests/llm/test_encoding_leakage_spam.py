@@ -49,6 +49,16 @@ def test_one_word(spark):
     assert {r.clave for r in encoding.garbled(d).collect()} == {"one", "lost"}
 
 
+def test_a_third_in_one_code_page(spark):
+    for code in ("cp850", "mac_roman", "cp437"):
+        how = (code, "latin-1", 1)
+        clean = [(f"c{i}", TEXT + " El tórax.") for i in range(20)] + [("fine", "5 µg/L ± 3 °C, Sjögren, Løvås, Jäger y Škoda")]
+        bad = [(f"b{i}", garble(TEXT, how)) for i in range(10)] + [("rare", garble("neumotórax", how))]  # a word that the corpus lacks
+        back = {r.clave: r.restored for r in encoding.restored(frame(spark, clean + bad)).collect()}
+        assert set(back) == {k for k, _ in bad} and back["rare"] == "neumotórax", code
+        assert all(t == TEXT for k, t in back.items() if k != "rare"), code
+
+
 def brute_leaks(docs, items, run=12):
     words = lambda t: re.findall(r"[^\W_]+", "".join(c for c in unicodedata.normalize("NFD", t or "") if not unicodedata.combining(c)).lower())
     grams = lambda w: {tuple(w[i:i + run]) for i in range(len(w) - run + 1)}
