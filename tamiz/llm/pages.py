@@ -190,14 +190,26 @@ def density(c: float, t: float, lc: float, lt: float, body_c: float, body_lc: fl
 _cache: dict[str, tuple[str, bool, list[str]]] = {}
 
 
+_CLAUSES = re.compile(r"(?<=[.!?;])\s+")
+
+
+def _notice(s: str) -> bool:
+    """Whether sentences with phrases of notices make up most of a long line."""
+    low = fold(s)
+    if not any(t in low for t in _TRIGGERS):
+        return False
+    parts = [" ".join(x.split()) for x in _CLAUSES.split(low)]
+    return 2 * sum(len(x) for x in parts if not _TRIGGERS.isdisjoint(_WORD.findall(x)) and _PAGE.search(x)) > sum(map(len, parts))
+
+
 def _look(s: str) -> tuple[str, bool, list[str]]:
     """Folded line, whether it reads as part of the page, and its words; short lines recur, so they are kept.
 
-    Lines of 260 characters and more are paragraphs: notices and labels are shorter.
+    Lines of 260 characters and more are paragraphs: of the page if most of their sentences are notices.
     """
     if len(s) >= 260:
         low = s.lower()
-        return low, False, low.split()
+        return low, _notice(s), low.split()
     hit = _cache.get(s)
     if hit is None:
         low = " ".join(fold(s).split())
@@ -236,12 +248,25 @@ def page_lines(text: str | None) -> list[Line]:
     leaf: list[tuple[float, float, float, float]] = [(0, 1, 0, 0)] * n
     open_, names = [0], [""]
     after_blank = True
+    inside_, link = "", 0  # the end of a script, style or comment, and a link, that go on from the line before
+    ends = {e: max((i for i, r in enumerate(raw) if e in r.lower()), default=-1) for e in ("</script", "</style", "-->", "</a")} if html else {}
     for i, r in enumerate(raw):
         tags = links = 0
         markup = False
         s = r.strip()
+        if inside_:
+            at = s.lower().find(inside_)
+            if at < 0:
+                where[i], page[i] = open_[-1], bool(s)
+                continue
+            s = s[at + (3 if inside_ == "-->" else 0):]
+            inside_ = ""
+            if not s:
+                where[i], page[i] = open_[-1], True
+                continue
         if html and "<" in s:
-            parts, at, link, lc, script = [], 0, 0, 0, False
+            parts, at, lc, script = [], 0, 0, False
+            links += link
             for m in _TAG.finditer(s):
                 piece = s[at:m.start()]
                 at = m.end()
@@ -252,6 +277,7 @@ def page_lines(text: str | None) -> list[Line]:
                 name = (m.group(2) or m.group(5) or "").lower()
                 if name in ("script", "style"):
                     script = not m.group(1)
+                    inside_ = f"</{name}" if script else ""
                 elif name == "a":
                     link = 0 if m.group(1) else 1
                     links += 0 if m.group(1) else 1
@@ -264,11 +290,18 @@ def page_lines(text: str | None) -> list[Line]:
                         where[i] = open_.pop()
                         names.pop()
             rest = s[at:]
+            if not script and "<!--" in rest and ends["-->"] > i:
+                rest, inside_ = rest[:rest.index("<!--")], "-->"
+            lc += len(rest) if link and not script and ends["</a"] > i else 0
+            if inside_ and ends[inside_] <= i:  # never closed: only this line
+                inside_ = ""
+            if ends["</a"] <= i:
+                link = 0
             parts.append("" if script else rest)
             v = " ".join(" ".join(parts).split()) if len(parts) > 2 else "".join(parts).strip()
             where[i] = where[i] or open_[-1]
         else:
-            v, lc = s, 0
+            v, lc, links = s, len(s) if link else 0, link
             if not html:
                 if not s:
                     after_blank = True

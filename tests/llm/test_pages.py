@@ -54,6 +54,14 @@ def test_marked_up_page():
     assert parts(html) == {1, 2, 3, 4, 5, 11, 12, 13, 14}
 
 
+def test_long_notice_and_markup_over_lines():
+    notice = "Este sitio usa cookies propias y de terceros para mejorar su experiencia de lectura. " * 5
+    assert len(notice) > 400 and parts("\n".join([*PROSE, notice, " ".join(PROSE)])) == {4}
+    html = ["<h3>Carcinoma renal</h3>", "<script>", "var paciente = 1;", "mostrar(paciente);", "</script>", *(f"<p>{p}</p>" for p in PROSE), "<!-- un comentario", "que sigue aquí", "-->", '<a href="/x">', "Otro caso de la serie", "</a>"]
+    assert parts("\n".join(html)) == {2, 3, 4, 5, 9, 10, 11, 12, 13, 14}
+    assert parts("\n".join(["<script>", *(f"<p>{p}</p>" for p in PROSE)])) == {1}  # never closed
+
+
 def test_density():
     assert ctd(0, 1, 0, 0, 10, 1) == 0 and ctd(400, 1, 0, 0, 1000, 100) > ctd(40, 4, 30, 4, 1000, 100) > 0
     assert page_lines(None) == [] and [x.kind for x in page_lines("")] == ["blank"] and [x.kind for x in page_lines(" \n\t")] == ["blank", "blank"]
