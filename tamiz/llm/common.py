@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -79,12 +79,9 @@ def running_total(df: DataFrame, group: str, order: list[str], weight: str) -> D
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     run = cut(df.repartitionByRange(parts, group, *order).sortWithinPartitions(group, *order).withColumn("part", F.spark_partition_id()))
-    totals = run.groupBy(group, "part").agg(F.sum(weight).alias("t"))  # groups x partitions, bounded by settings
-    a, b = totals.alias("a"), totals.alias("b")
-    offsets = (
-        a.join(b, F.col(f"a.{group}") == F.col(f"b.{group}")).groupBy(F.col(f"a.{group}").alias(group), F.col("a.part").alias("part"))
-        .agg(F.sum(F.when(F.col("b.part") < F.col("a.part"), F.col("b.t")).otherwise(0)).alias("offset"))
-    )
+    totals = run.groupBy(group, "part").agg(F.sum(weight).alias("t"))
+    earlier = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a group has a row for each partition
+    offsets = totals.select(group, "part", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("offset"))
     names = df.columns
     at_g, at_w = names.index(group), names.index(weight)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
@@ -97,5 +94,6 @@ def running_total(df: DataFrame, group: str, order: list[str], weight: str) -> D
             yield (*row, n)
             n += row[at_w] or 0
 
+    # groups follow one another in the partitions, so there are at most groups + partitions rows; groups are target sources, or statistics by language
     within = scan(run, f"{fields}, part int, within bigint", add)
     return within.join(F.broadcast(offsets), [group, "part"]).withColumn("before", F.col("offset") + F.col("within")).select(*names, "before")

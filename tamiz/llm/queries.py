@@ -66,7 +66,7 @@ def p4_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.outlier_scores(cut(quality.text_statistics(_tasks(spark, sf))))
+    return quality.outlier_scores(cut(quality.text_statistics(_tasks(spark, sf)))).select("task_id", "score", "unprose")
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,7 +74,7 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_sources(spark: SparkSession, sf: str) -> DataFrame:
-    return truncation.source_rates(truncation.endings(_tasks(spark, sf, "pid")))
+    return truncation.source_rates(truncation.endings(_tasks(spark, sf, "pid")), table(spark, sf, "qc_deepseek"))
 
 
 def _p6(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,10 +1,14 @@
 """Problem 10: keyword-stuffed pages and link lists. An n-gram model of function words and word classes, trained on prose.
 
-A token is itself if it is a function word or a sign, else its class: word, Name, CAPS, number, link, hashtag, and "again" for a content
-word that follows the same content word as before in the text (a repeated phrase). The trigram model is trained on the corpus' sentences:
-lines that end like one, have the function words of one and repeat no phrase. Its counts are summed over all documents; they are
-bounded by the classes, not by the corpus. Each document's perplexity is set against the median and spread of the documents that
-hold training lines, of those lines alone, so spam does not move the bound: pages abnormally high or low are candidates. Of these, the ones are found of which sentences that inform make up less than half (exact check).
+A token is itself if it is a function word or a sign, else its class: word, Name, CAPS, number, hashtag, part of a link, and "again" for a
+content word that follows the same content word as before in the text (a repeated phrase). The trigram model is trained on the corpus'
+prose: lines that end like a sentence, have the function words of one, repeat no phrase and hold no link or tag. Its counts are summed over
+all documents; the classes bound them, not the corpus, and its smoothing does not depend on their size, so a token costs the same at
+every scale. A document is flagged if its perplexity is abnormally high: more than ``deviations`` robust deviations above the median of
+the documents that are prose by themselves (a fifth of their tokens in training lines), so spam does not move the bound.
+
+The exact check that follows lets those of the flagged documents go that inform: contents and reference lists, and complete sentences
+that naturally repeat a term. It reads the text in the pass that codes it, so no text is shuffled or read again.
 """
 
 from __future__ import annotations
@@ -16,11 +20,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, narrowed, scan
+from .common import cut, scan
 from .pages import FUNCTION
 
+_RUN = re.compile(r"([^\w\s])\1+|\n\s*\n")
 _TOKEN = re.compile(r"https?://\S+|www\.\S+|#\w+|\d[\d.,]*|[^\W\d_]+|\n|[^\w\s]")
-_SENTENCE = re.compile(r"[.!?]+[\"”»)]*(?:\s+|$)|\n+")
+_LINK = re.compile(r"https?://\S+|www\.\S+")
+_PART = re.compile(r"[^/.:?&=#_-]+")
 _REFERENCE = re.compile(r"(?:19|20)\d\d\s?;\s?\d+")
 SIGNS = ".,;:()[]-|/>¿?¡!\"»•*%+=&_<"
 # the code of a class is its place: line, again, word, Name, CAPS, number, link, hashtag, other sign, the signs, the function words
@@ -29,22 +35,24 @@ NAMES = ["L", "R", "W", "C", "A", "N", "U", "H", "S", *SIGNS, *sorted(FUNCTION)]
 CODE = {c: chr(_BASE + i) for i, c in enumerate(NAMES)}
 _L, _R, _W, _C, _A, _N, _U, _H, _S = (CODE[c] for c in "LRWCANUHS")
 _STOP = CODE["."]
+LEAST_SPREAD = 0.25  # bits; in a corpus of like documents any other would be far from the median
+_UNLIKE = frozenset((_R, _U, _H))
 _FUNCTION = re.compile(f"[{chr(_BASE + 9 + len(SIGNS))}-{chr(_BASE + len(NAMES))}]")
 _CODES = {w: CODE[w] for w in FUNCTION} | {c: CODE[c] for c in SIGNS} | {"\n": _L}
 
 
 def classes(text: str) -> str:
-    """The classes of a text's tokens, a character each."""
+    """The classes of a text's tokens, a character each; a run of one sign is one token, a link one for each of its parts."""
     out, seen, last = [], set(), ""
     get = _CODES.get
-    for t in _TOKEN.findall(text):
+    for t in _TOKEN.findall(_RUN.sub(lambda m: m.group(1) or "\n", text)):
         low = t.lower()
         code = get(low)
         if code is None:
             c = t[0]
             if c.isalpha():
-                if low.startswith(("http", "www.")):
-                    code = _U
+                if low.startswith(("http", "www.")) and _LINK.match(low):
+                    code = _U * len(_PART.findall(t))
                 else:
                     pair = (last, low)
                     last = low
@@ -59,13 +67,9 @@ def classes(text: str) -> str:
     return "".join(out)
 
 
-def sentences(text: str) -> list[str]:
-    return [s for s in _SENTENCE.split(text) if s and not s.isspace()]
-
-
 def training(seq: str) -> list[str]:
-    """The lines of a text, as classes, that are prose: they end in a stop, repeat no phrase and have a quarter of function words."""
-    return [x for x in seq.split(_L) if len(x) >= 8 and x[-1] == _STOP and _R not in x and len(_FUNCTION.findall(x)) >= 0.25 * len(x)]
+    """The lines of a text, as classes, that are prose: they end in a stop, repeat no phrase, hold no link and have a quarter of function words."""
+    return [x for x in seq.split(_L) if len(x) >= 8 and x[-1] == _STOP and _UNLIKE.isdisjoint(x) and len(_FUNCTION.findall(x)) >= 0.25 * len(x)]
 
 
 def ids(seq: str) -> np.ndarray:
@@ -73,20 +77,27 @@ def ids(seq: str) -> np.ndarray:
 
 
 class Model:
-    """Interpolated trigram model of classes; its size is bounded by the cube of the classes."""
+    """Trigram model of classes, interpolated with fixed weights; its size is bounded by the cube of the classes.
+
+    A class that the prose lacks costs no more than some 21 bits, however many tokens it was trained on.
+    """
 
-    def __init__(self, counts: list[tuple[int, int]]):
+    WEIGHTS = (0.6, 0.3, 0.1)  # of the trigrams, the pairs and the single classes
+    RARE = 0.001  # the share of all classes alike in the single ones
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
         v = self.v = len(NAMES) + 1
-        tri = dict(counts)
-        keys = np.array(sorted(tri), dtype=np.int64)
-        n = np.array([tri[k] for k in keys.tolist()], dtype=float)
+        order = np.argsort(keys)
+        keys, n = np.asarray(keys, dtype=np.int64)[order], np.asarray(n, dtype=float)[order]
         a, b, c = keys // (v * v), keys // v % v, keys % v
         uni = np.bincount(c, n, v)
-        p1 = (uni + 0.5) / (uni.sum() + 0.5 * v)
+        p1 = (1 - self.RARE) * uni / max(uni.sum(), 1) + self.RARE / v
         two = np.bincount(b * v + c, n, v * v).reshape(v, v)
-        p2 = (two + 5 * p1) / (two.sum(axis=1, keepdims=True) + 5)
-        before = np.bincount(a * v + b, n, v * v).reshape(v, v)
-        self.keys, self.n, self.p2, self.before = keys, n, p2, before
+        seen = two.sum(axis=1, keepdims=True)
+        w3, w2, w1 = self.WEIGHTS
+        self.p2 = np.where(seen > 0, (w2 * two / np.maximum(seen, 1) + w1 * p1) / (w2 + w1), p1)
+        self.keys, self.n, self.w3 = keys, n, w3
+        self.before = np.bincount(a * v + b, n, v * v).reshape(v, v)
 
     def bits(self, seqs: list[str]) -> list[float]:
         """Bits a token of each text; 0 for one without tokens."""
@@ -103,85 +114,59 @@ class Model:
                 n = np.where(self.keys[i] == k, self.n[i], 0.0)
             else:
                 n = np.zeros(len(k))
-            p = (n + 5 * self.p2[b, c]) / (self.before[a, b] + 5)
+            had = self.before[a, b]
+            p = np.where(had > 0, self.w3 * n / np.maximum(had, 1) + (1 - self.w3) * self.p2[b, c], self.p2[b, c])
             out.append(round(float(-np.log2(p).mean()), 4))
         return out
 
 
-# Words of a clause; a keyword has none of them.
-_CLAUSE = frozenset("el los que se es un y e o and the is a of was with os um le les est une et qui no ni fue ha".split())
-# Words that promote or sell.
-_PROMOTION = frozenset(
-    "mejor mejores precio precios barato barata baratos oferta ofertas descuento gratis online compre comprar compra llame busca elegir elija confían "
-    "confianza opiniones económico económica rápido seguro necesita compare miles pida hoy ofrece carrito agotado clic tienda envío promoción "
-    "best cheap buy price discount order free deal sale shipping click now".split()
-)
-# Signs of goods and prices.
-_GOODS = re.compile(r"\bSKU\b|\bS/ ?\d|[$€£] ?\d|\d ?[$€£]|\bref\.? ?\d{4,}|\bOFERTA\b", re.I)
-_LINK = re.compile(r"https?://\S+|www\.\S+")
-_PIECE = re.compile(r"\s*[,;|•»>\n\[\]()]+\s*|\s-\s|[.!?:]+\s")
-_PLAIN = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+")
+_CONTENTS = re.compile(r"\S.*[\s.]\d{1,4}$")
+_BETWEEN = re.compile(r"(?<=[.!?])[\"”»)]*\s+")
 
 
-def keyword_share(text: str) -> float:
-    """The share of a text's words that stand in links, tags, goods or repeated keywords instead of sentences.
+def informs(text: str) -> bool:
+    """Whether lines of contents or references, or complete sentences, make up most of a text's words.
 
-    1 for a text of sentences stuffed with a keyword: one content word makes up 12 % of all words, and sentences hold a word three
-    times or promote. A text that naturally repeats its term says it once or twice a sentence.
+    Sentences count only in a text that repeats its terms naturally: at most one sentence in eight holds a content word three times.
     """
-    total = bad = 0
-    phrases: Counter = Counter()
-    pieces: list[tuple[tuple, int]] = []
-    content: Counter = Counter()
+    total = known = said = n = thrice = 0
     for line in text.split("\n"):
         line = line.strip()
-        if not line:
-            continue
-        links = len(_LINK.findall(line))
-        bare = _LINK.sub(" ", line) if links else line
-        words = _PLAIN.findall(bare.lower())
-        n = len(words) + links
-        tags = line.count("#")
-        total += n + (tags if tags > 2 else 0)
-        reference = _REFERENCE.search(line) is not None
-        if not reference:
-            content.update([w for w in words if w not in FUNCTION and len(w) > 2])
-        if reference:
-            continue
-        if links and n < 30 * links or _GOODS.search(line) or tags > 2 and tags * 4 > n:
-            bad += n + (tags if tags > 2 else 0)
+        words = len(_WORD.findall(line))
+        total += words
+        linked = "#" in line or _LINK.search(line) is not None
+        if _REFERENCE.search(line) or not linked and _CONTENTS.match(line):
+            known += words
             continue
-        for piece in _PIECE.split(bare):
-            w = _PLAIN.findall(piece)
-            low = [x.lower() for x in w]
-            inside = [x for x in low if x not in FUNCTION]
-            if len(w) > 11:
-                if len(inside) > 0.65 * len(w) and len(set(inside)) < 0.6 * len(inside):
-                    bad += len(w)
-            elif inside and _CLAUSE.isdisjoint(low):
-                key = tuple(inside[:2])
-                phrases[key] += 1
-                pieces.append((key, len(w)))
-    # short pieces that open with the same two content words again and again; a sentence has few of them
-    bad += sum(n for key, n in pieces if phrases[key] >= 4)
-    if not total:
-        return 0.0
-    word, top = max(content.items(), key=lambda x: (x[1], x[0]), default=("", 0))
-    if top > 0.12 * total and total >= 8:  # a word of fewer is a large share by itself
-        parts = [_PLAIN.findall(x.lower()) for x in sentences(text)]
-        thrice = sum(max((x.count(w) for w in set(x) if w not in FUNCTION and len(w) > 2), default=0) > 2 for x in parts)
-        if thrice > 0.12 * len(parts) or sum(n for w, n in content.items() if w in _PROMOTION) > 0.04 * total:
-            return 1.0
-    return bad / total
+        for s in _BETWEEN.split(line):
+            w = _WORD.findall(s.lower())
+            if len(w) < 5:
+                continue
+            n += 1
+            inside = Counter(x for x in w if x not in FUNCTION and len(x) > 2)
+            thrice += max(inside.values(), default=0) > 2
+            if s[-1:] in ".!?" and not linked and len(w) - sum(x not in FUNCTION for x in w) >= 0.15 * len(w):
+                said += len(w)
+    return 2 * known > total or 2 * (known + said) > total and 8 * thrice <= n
+
+
+def _coded(df: DataFrame, key: str, text: str) -> DataFrame:
+    kind = df.schema[key].dataType.simpleString()
+    return cut(scan(df.where(F.length(F.trim(text)) > 0).select(key, text), f"{key} {kind}, seq string, informs boolean", lambda it: ((k, classes(t), informs(t)) for k, t in it)))
 
 
 def scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, bits, centre, spread): bits a token under the prose model, and the median and robust deviation of the prose that trains it.
+    """(key, bits, centre, spread): bits a token under the prose model, and the median and robust deviation of the documents that are prose.
 
-    Centre and spread are those of the documents' training lines, of all documents if none has any. Null and blank texts are left out. The model's counts are summed over all documents and sent to every task; classes bound them.
+    Prose are the documents with a fifth of their tokens in training lines, all documents if there are none. Null and blank texts are
+    left out. The model's counts are summed over all documents and sent to every task: at most one number for each three classes.
     """
-    kind = df.schema[key].dataType.simpleString()
-    coded = cut(scan(df.where(F.length(F.trim(text)) > 0).select(key, text), f"{key} {kind}, seq string", lambda it: ((k, classes(t)) for k, t in it)))
+    return _scored(_coded(df, key, text), key).drop("informs")
+
+
+def _scored(coded: DataFrame, key: str) -> DataFrame:
+    kind = coded.schema[key].dataType.simpleString()
     v = len(NAMES) + 1
 
     def count(it):
@@ -203,29 +188,26 @@ def scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         add()
         yield from n.items()
 
-    counts = scan(coded.select("seq"), "k bigint, n bigint", count).groupBy("k").agg(F.sum("n").alias("n")).collect()
-    model = Model([(r.k, r.n) for r in counts])
+    # at most len(NAMES) ** 3 rows of 16 bytes, as Arrow columns
+    counts = scan(coded.select("seq"), "k bigint, n bigint", count).groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    model = Model(counts["k"].to_numpy(), counts["n"].to_numpy())
 
     def score(it):
-        for k, seq in it:
-            lines = training(seq)
-            yield k, model.bits([seq])[0], model.bits([_L.join(lines)])[0] if lines else None
-
-    scored = cut(scan(coded, f"{key} {kind}, bits double, prose double", score))
-    prose = scored.select("prose").where("prose is not null")
-    if prose.isEmpty():
-        prose = scored.select(F.col("bits").alias("prose"))
-    middle = prose.agg(F.percentile_approx("prose", 0.5, 10000).alias("centre"))
-    spread = prose.join(F.broadcast(middle)).groupBy("centre").agg((F.percentile_approx(F.abs(F.col("prose") - F.col("centre")), 0.5, 10000) * 1.4826).alias("spread"))
+        for k, seq, known in it:
+            yield k, known, model.bits([seq])[0], 5 * sum(len(x) + 1 for x in training(seq)) >= len(seq) + 1
+
+    scored = cut(scan(coded, f"{key} {kind}, informs boolean, bits double, prose boolean", score))
+    middle = lambda x: F.percentile_approx(x, 0.5, 10000)
+    some = scored.where("prose")
+    some = scored if some.isEmpty() else some
+    centre = some.agg(middle(F.col("bits")).alias("centre"))  # one row
+    spread = some.join(F.broadcast(centre)).groupBy("centre").agg(F.greatest(middle(F.abs(F.col("bits") - F.col("centre"))) * 1.4826, F.lit(LEAST_SPREAD)).alias("spread"))  # one row
     return scored.drop("prose").join(F.broadcast(spread))
 
 
-def spam(df: DataFrame, key: str = "doc_id", text: str = "text", deviations: float = 2.0, share: float = 0.5) -> DataFrame:
-    """(key, bits, keyword_share) of the documents with abnormal perplexity of which keywords, links and tags make up most.
+def spam(df: DataFrame, key: str = "doc_id", text: str = "text", deviations: float = 6.25) -> DataFrame:
+    """(key, bits) of the documents with abnormally high perplexity that do not inform (``informs``).
 
     Repeated rows give repeated rows; an empty table gives an empty result.
     """
-    kind = df.schema[key].dataType.simpleString()
-    odd = cut(scores(df, key, text).where(F.abs(F.col("bits") - F.col("centre")) > deviations * F.col("spread")).select(key, "bits").dropDuplicates([key]))
-    both = narrowed(df.select(key, text), odd, key).join(odd, key)
-    return scan(both.select(key, text, "bits"), f"{key} {kind}, bits double, keyword_share double", lambda it: ((k, b, round(s, 4)) for k, t, b in it if (s := keyword_share(t)) > share))
+    return _scored(_coded(df, key, text), key).where((F.col("bits") > F.col("centre") + deviations * F.col("spread")) & ~F.col("informs")).select(key, "bits")

@@ -114,6 +114,18 @@ def test_spam(spark):
     assert spam.spam(d.limit(0)).count() == 0
 
 
+def test_spam_is_decided_by_perplexity(spark, monkeypatch):
+    lists = [PROSE.format(i, i % 7, i % 30).replace(". ", ", ") + "y así" for i in range(20)]  # no sentences to inform by, yet plain
+    rows = [PROSE.format(i, i % 7, i % 30) for i in range(120)] + lists + SPAM
+    d = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    want = set(range(len(rows) - len(SPAM), len(rows)))
+    assert not any(map(spam.informs, lists + SPAM)) and all(map(spam.informs, [*rows[:120], *FINE]))
+    assert {r.doc_id for r in spam.spam(d).collect()} == want
+    for constant in (1.0, 99.0):  # without the model nothing is found
+        monkeypatch.setattr(spam.Model, "bits", lambda self, seqs, c=constant: [c] * len(seqs))
+        assert {r.doc_id for r in spam.spam(d).collect()} != want
+
+
 def test_spam_does_not_move_the_bound(spark):
     prose = [PROSE.format(i, i % 7, i % 30) * (1 + i % 3) for i in range(80)]
     table = lambda texts: spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
@@ -123,8 +135,11 @@ def test_spam_does_not_move_the_bound(spark):
     assert {r.doc_id for r in spam.spam(table(prose + links)).collect()} == set(range(80, 120))  # bare links, however few
 
 
-def test_keyword_share():
-    assert spam.keyword_share("") == 0 and spam.keyword_share("uno dos") == 0
-    assert all(spam.keyword_share(t) > 0.5 for t in SPAM) and all(spam.keyword_share(t) < 0.5 for t in FINE)
-    model = spam.Model([])
-    assert model.bits(["", spam.classes("a b.")])[0] == 0.0
+def test_model_costs_do_not_grow_with_the_corpus():
+    import numpy as np
+
+    keys = np.array([5, 900, 70_000])
+    seqs = ["", spam.classes("a b."), spam.classes("http://a.example/b #x #y")]
+    small, large = (spam.Model(keys, np.array([1, 2, 3]) * k).bits(seqs) for k in (1, 10_000))
+    assert small == large and small[0] == 0.0 and spam.Model(np.array([]), np.array([])).bits(seqs)[0] == 0.0
+    assert spam.classes("a ..... b") == spam.classes("a . b") and len(spam.classes("http://a.example/b")) == 4

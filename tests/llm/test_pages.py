@@ -1,6 +1,6 @@
 import random
 
-from tamiz.llm import density, language, quality, truncation
+from tamiz.llm import common, density, language, quality, truncation
 from tamiz.llm.pages import density as ctd
 from tamiz.llm.pages import page_lines
 
@@ -87,7 +87,7 @@ JUNK = "\n".join("vn|: !rt ;:. ^jl ~w" + "|:;" * (i % 5) for i in range(20))
 WRAPPED = "\n".join(" ".join(" ".join(PROSE).split()[i:i + 9]) for i in range(0, 80, 9))
 
 
-def test_not_prose(spark):
+def test_not_prose(spark, monkeypatch):
     normal = [f"{PROSE[i % 3]}\n{PROSE[(i + 1) % 3]} {i}\n{PROSE[(i + 2) % 3]}" for i in range(60)]
     odd = [TABLE, LIST, JUNK, "Título\n" + PROSE[0] + "\n" + TABLE + LIST]
     d = texts(spark, [*normal, WRAPPED, PROSE[0] + "\ncreatinina\t1,4\tU/L\n" + PROSE[1], None, "", *odd])
@@ -96,6 +96,22 @@ def test_not_prose(spark):
     stats = {r.task_id: r for r in quality.text_statistics(d).collect()}
     assert stats[62].lang == "?" and stats[62].mean_word is None and stats[0].lang == "es" and stats[0].words == len(normal[0].split())
     assert quality.not_prose(d.limit(0)).count() == 0 == quality.text_statistics(d.limit(0)).count()
+    # the score decides: below its bounds nothing is found, beyond them everything
+    for n, found in ((1e9, set()), (1, set(range(60)))):
+        monkeypatch.setattr(quality, "gamma_bound", lambda shape, beyond, n=n: n if n > 1 else -1.0)
+        assert found <= {r.task_id for r in quality.not_prose(d).collect()} and (found or not quality.not_prose(d).count())
+
+
+def test_gamma_bound():
+    assert abs(quality.gamma_bound(1, 0.05) - 2.9957) < 1e-3 and abs(quality.gamma_bound(4, 0.05) - 7.7537) < 1e-3 and quality.three(123456) == 123000.0
+
+
+def test_running_total(spark):
+    r = random.Random(4)
+    rows = [(r.choice("aab"), r.randrange(50), i, r.randrange(9)) for i in range(500)]
+    d = common.running_total(spark.createDataFrame(rows, "g string, o int, i int, w int"), "g", ["o", "i"], "w")
+    assert all(x.before == sum(w for g, o, i, w in rows if g == x.g and (o, i) < (x.o, x.i)) for x in d.collect()) and d.count() == 500
+    assert "NestedLoop" not in d._jdf.queryExecution().executedPlan().toString() and "CartesianProduct" not in d._jdf.queryExecution().executedPlan().toString()
 
 
 def test_exact_ranks(spark):
@@ -109,8 +125,24 @@ def test_exact_ranks(spark):
 
 
 def test_automaton():
-    assert truncation.open_at_end('a (b [c] "d') == '("' and truncation.open_at_end("a) «b»") == ""
-    assert truncation.broken_end("texto &am") and truncation.broken_end("a\\u00") and truncation.broken_end("fin�") and truncation.broken_end("x <p") and not truncation.broken_end("fin.")
+    assert truncation.open_at_end('a (b [c] "d') == 'S("' and truncation.open_at_end("a) «b»") == "S" and truncation.open_at_end("Uno (dos. Tres). Cuatro.") == "" == truncation.open_at_end("")
+    assert truncation.automaton([["Uno (dos"], ["Tres."]]).stack == "" and truncation.automaton([["Uno,", "dos (tres"]]) == ("S(", "Uno, dos (tres")
+    assert truncation.broken_end("a &lt; b &am") and truncation.broken_end("a\\u00") and truncation.broken_end("fin�") and truncation.broken_end("x <p") and not truncation.broken_end("fin.")
+    assert not truncation.broken_end("área de R&D") and truncation.open_elements("<div><b>a<br></b><p>c") == ["div"] and truncation.open_elements("<i>a</i></b>") == []
+
+
+def test_cut_by_states_and_sources(spark, monkeypatch):
+    whole = "\n".join(PROSE)
+    marked = "\n".join(f"<p>{p}</p>" for p in PROSE)
+    bare = "\n".join(f"{p[:-1]} y {p[:-1].lower()}" for p in PROSE)  # a source that leaves terminators out
+    rows = [("1", whole)] * 12 + [("1", f"<div>{marked}</div>"), ("1", f"<div>{marked}"), ("1", f"<div>{marked}<sp")] + [("1", whole[:-40])] + [("2", bare)] * 9 + [("3", whole + "\nSe hizo, con cuidado, una " + x * 5) for x in "uvwxyz"]
+    d = spark.createDataFrame([(i, f"S{j * 4}-{j * 4}2001{i:09d}", t) for i, (j, t) in enumerate(rows)], "task_id bigint, pid string, text string")
+    got = {r.task_id: r for r in truncation.endings(d).collect()}
+    assert [i for i in range(16) if got[i].verdict == "cut"] == [13, 14, 15]
+    assert all(got[i].verdict == "complete" and got[i].complete_share > 0.5 for i in range(16, 25))  # its own baseline
+    assert all(got[i].verdict == "cut" and got[i].at_limit for i in range(25, 31))
+    monkeypatch.setattr(truncation, "automaton", lambda parts: truncation.End("", ""))  # without the automaton only broken ends and tags are left
+    assert {r.task_id for r in truncation.endings(d).where("verdict = 'cut'").collect()} == {13, 14}
 
 
 def test_endings(spark):
