@@ -3,8 +3,8 @@
 1. Sizes of the sources are summed in one aggregation, in blank-separated words or in tokens of a public tokenizer.
 2. A source's weight runs from ``start`` to ``end`` over the training, x from 0 to 1: w(x) = peso * (start + (end - start) * x). Its
    demand up to x is the integral, T * (start * x + (end - start) * x^2 / 2) with the mean weight scaled to 1, so that each source gets
-   its whole share; what exceeds size * max_repeticiones is a deficit and is reported.
-3. A source's documents are laid end to end in an order of their hashes, once for each repetition. Running totals come from a range
+   its whole share; what its documents, max_repeticiones times, leave of it is a deficit and is reported.
+3. A source's documents are laid end to end in an order of their hashes (md5, so that any engine draws the same), once for each repetition. Running totals come from a range
    partition with partition offsets, so no source is sorted in one task. The integral inverted at the running total is a document's
    position in training; the mix is range-sorted by it.
 """
@@ -63,7 +63,7 @@ def sized(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 
 def plan(sizes: DataFrame, targets: DataFrame, part: tuple[int, int] = (1, 2)) -> DataFrame:
-    """(source, peso_pm, max_rep, size, documents, demand, supply, used, deficit) for each target source.
+    """(source, peso_pm, max_rep, size, documents, demand, supply, used) for each target source.
 
     T is ``part`` of the total size of all sources. Demands are in thousandths of a word or token: peso_pm * T. A null weight or cap is 0.
     Repeated targets of a source are taken once; targets of absent sources have size 0.
@@ -76,9 +76,8 @@ def plan(sizes: DataFrame, targets: DataFrame, part: tuple[int, int] = (1, 2)) -
     return (
         goal.join(by, "source", "left").join(F.broadcast(total)).fillna(0, ["size", "documents"])
         .withColumn("demand", F.col("peso_pm") * F.col("total") * num / (1000.0 * den)).withColumn("supply", F.col("size") * F.col("max_rep"))
-        .withColumn("short", F.col("supply") * 1000 * den < F.col("peso_pm") * F.col("total") * num)
-        .withColumn("used", F.least("demand", F.col("supply").cast("double"))).withColumn("deficit", F.col("demand") - F.col("used"))
-        .select("source", "peso_pm", "max_rep", "size", "documents", "demand", "supply", "used", "deficit", "short")
+        .withColumn("used", F.least("demand", F.col("supply").cast("double")))
+        .select("source", "peso_pm", "max_rep", "size", "documents", "demand", "supply", "used")
     )
 
 
@@ -92,7 +91,7 @@ def curriculum(sizes: DataFrame, targets: DataFrame, key: str = "doc_id", seed:
     p = plan(sizes, targets, part).where("used > 0").withColumn("tilt", F.when(F.col("max_rep") > 1, F.lit(slope)).otherwise(F.lit(-slope)))
     copies = sizes.where("size > 0").join(p.drop("size", "documents"), "source").join(p.select("source", F.col("size").alias("all_")), "source")
     times = F.least(F.col("max_rep"), F.ceil(F.col("used") / F.col("all_")).cast("bigint"))
-    laid = copies.select("source", F.explode(F.sequence(F.lit(1), times.cast("int"))).alias("repetition"), key, "size").withColumn("u", F.xxhash64(key, "repetition", F.lit(seed)))
+    laid = copies.select("source", F.explode(F.sequence(F.lit(1), times.cast("int"))).alias("repetition"), key, "size").withColumn("u", F.md5(F.concat_ws(":", F.lit(seed), "repetition", key)))
     total = running_total(laid, "source", ["repetition", "u", key], "size")
     placed = total.join(p.select("source", "used", "demand", "tilt"), "source").where("before < used")
     y, t = F.col("before") / F.col("demand"), F.col("tilt")
@@ -102,9 +101,18 @@ def curriculum(sizes: DataFrame, targets: DataFrame, key: str = "doc_id", seed:
 
 
 def shares(mix: DataFrame, planned: DataFrame) -> DataFrame:
-    """(source, peso_pm, tokens, share_pm, repetitions, deficit) of the mix for each target source."""
-    got = mix.groupBy("source").agg(F.sum("size").alias("tokens"), F.max("repetition").alias("repetitions"))
-    whole = mix.agg(F.sum("size").alias("whole"))
-    return planned.join(got, "source", "left").join(F.broadcast(whole)).fillna(0, ["tokens", "repetitions"]).select(
-        "source", "peso_pm", "tokens", F.round(F.col("tokens") * 1000 / F.greatest(F.coalesce("whole", F.lit(1)), F.lit(1)), 2).alias("share_pm"), "repetitions", F.round("deficit", 3).alias("deficit")
-    )
+    """(source, peso_pm, size, share_pm, repetitions, deficit, short) of the mix for each target source, from the positions given out.
+
+    ``size`` is what the source's documents in the mix add up to. A source takes documents until its demand is met, so one whose size in
+    the mix is below its demand is short by the deficit.
+    """
+    got = mix.groupBy("source").agg(F.sum("size").alias("placed"), F.max("repetition").alias("repetitions"))
+    whole = mix.agg(F.sum("size").alias("whole"))  # one row
+    placed = F.coalesce("placed", F.lit(0))
+    return (
+        planned.select("source", "peso_pm", "demand").join(got, "source", "left").join(F.broadcast(whole))
+        .select(
+            "source", "peso_pm", placed.alias("size"), F.round(placed * 1000 / F.greatest(F.coalesce("whole", F.lit(1)), F.lit(1)), 2).alias("share_pm"),
+            F.coalesce("repetitions", F.lit(0)).alias("repetitions"), F.round(F.greatest(F.col("demand") - placed, F.lit(0.0)), 3).alias("deficit"), (placed < F.col("demand")).alias("short"),
+        )
+    )

@@ -19,9 +19,6 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
 
 
-TOKENIZERS = "/opt/tokenizers"  # vocabulary files of public tokenizers; a parameter, never copied
-
-
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return lines.repeated_lines(_tasks(spark, sf, "pid"), exact=True).select("task_id", "line_no").distinct()
 
@@ -110,21 +107,33 @@ def p8_items(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.item_report(leakage.leaks(_documents(spark, sf), table(spark, sf, "eval_items")))
 
 
+def _tokenizer(spark: SparkSession) -> str:
+    """The vocabulary file of a public tokenizer, on a path that every executor has; spark.tamiz.tokenizer names another one."""
+    return spark.conf.get("spark.tamiz.tokenizer", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
+
 def _p9(spark: SparkSession, sf: str, tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
-    return cut(mixing.sized(_documents(spark, sf), tokenizer=tokenizer)), table(spark, sf, "mezcla_metas")
+    sizes, targets = cut(mixing.sized(_documents(spark, sf), tokenizer=tokenizer)), table(spark, sf, "mezcla_metas")
+    return mixing.curriculum(sizes, targets), mixing.plan(sizes, targets)
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.plan(*_p9(spark, sf)).where("short").select("source")
+    return mixing.shares(*_p9(spark, sf)).where("short").select("source")
 
 
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.curriculum(*_p9(spark, sf))
+    return _p9(spark, sf, _tokenizer(spark))[0]
 
 
 def p9_report(spark: SparkSession, sf: str) -> DataFrame:
-    sizes, targets = _p9(spark, sf, f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
-    return mixing.shares(cut(mixing.curriculum(sizes, targets)), mixing.plan(sizes, targets))
+    mix, planned = _p9(spark, sf, _tokenizer(spark))
+    return mixing.shares(cut(mix), planned).drop("short")
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """The report in blank-separated words."""
+    mix, planned = _p9(spark, sf)
+    return mixing.shares(cut(mix), planned).drop("short")
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,7 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             p1_found, p1_clean, p2_found, p2_sample, p2_report, p3_found, p3_main, p4_found, p4_statistics, p4_scores, p5_found, p5_sources,
-            p6_found, p6_restored, p7_found, p7_languages, p8_found, p8_items, p9_found, p9_mix, p9_report, p10_found, p10_scores,
+            p6_found, p6_restored, p7_found, p7_languages, p8_found, p8_items, p9_found, p9_mix, p9_report, p9_shares, p10_found, p10_scores,
         )
     }
 
@@ -167,6 +176,14 @@ iw AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 11], ' ') AS g FROM (SEL
 """
 
 
+_P9 = """
+WITH d AS (SELECT doc_id, lower(trim(source)) AS source, len(regexp_extract_all(text, '\\S+')) AS size FROM documents WHERE text IS NOT NULL AND trim(source) <> ''),
+s AS (SELECT source, sum(size)::BIGINT AS size FROM d GROUP BY source),
+goal AS (SELECT lower(trim(m.source)) AS source, peso_pm, max_repeticiones AS max_rep, coalesce(s.size, 0) AS size, (SELECT sum(size)::BIGINT FROM s) AS total
+  FROM mezcla_metas m LEFT JOIN s ON s.source = lower(trim(m.source)))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": """
@@ -191,10 +208,12 @@ SELECT DISTINCT task_id, n::INT AS line_no FROM s JOIN c USING (j, k) JOIN t USI
 g AS (SELECT *, ip - row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY ip) AS island FROM r),
 m AS (SELECT doc_id, item_id, count(*) + 11 AS words FROM g GROUP BY doc_id, item_id, shift, island)
 SELECT item_id, count(DISTINCT doc_id) AS documents, max(words)::INT AS longest FROM m GROUP BY item_id""",
-        "p9_found": """
-WITH d AS (SELECT lower(trim(source)) AS source, len(regexp_extract_all(text, '\\S+')) AS size FROM documents WHERE text IS NOT NULL AND trim(source) <> ''),
-t AS (SELECT sum(size) AS total FROM d), s AS (SELECT source, sum(size) AS size FROM d GROUP BY source)
-SELECT lower(trim(m.source)) AS source FROM mezcla_metas m CROSS JOIN t LEFT JOIN s ON s.source = lower(trim(m.source))
-WHERE coalesce(size, 0) * max_repeticiones * 2000 < peso_pm * total
-""",
+        "p9_found": _P9 + "SELECT source FROM goal WHERE size * max_rep * 2000 < peso_pm * total",
+        "p9_shares": _P9
+        + """, used AS (SELECT *, peso_pm * total / 2000.0 AS demand, least(peso_pm * total / 2000.0, size * max_rep) AS used FROM goal),
+laid AS (SELECT u.source, used, d.size, rep, sum(d.size) OVER (PARTITION BY u.source ORDER BY rep, md5('42:' || rep || ':' || doc_id), doc_id) - d.size AS before
+  FROM used u JOIN d USING (source), unnest(range(1, greatest(least(max_rep, ceil(used / greatest(u.size, 1))), 0)::INT + 1)) AS r(rep) WHERE d.size > 0),
+mix AS (SELECT source, sum(size) AS placed, max(rep) AS repetitions FROM laid WHERE before < used GROUP BY source)
+SELECT source, peso_pm, coalesce(placed, 0)::BIGINT AS size, round(coalesce(placed, 0) * 1000 / (SELECT sum(placed) FROM mix), 2) AS share_pm, coalesce(repetitions, 0)::INT AS repetitions,
+  round(greatest(demand - coalesce(placed, 0), 0), 3) AS deficit FROM used LEFT JOIN mix USING (source)""",
     }

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import cut, scan
 from .pages import FUNCTION
 
-_RUN = re.compile(r"([^\w\s])\1+|\n\s*\n")
+_RUN = re.compile(r"([^\w\s/])\1+|\n\s*\n")
 _TOKEN = re.compile(r"https?://\S+|www\.\S+|#\w+|\d[\d.,]*|[^\W\d_]+|\n|[^\w\s]")
 _LINK = re.compile(r"https?://\S+|www\.\S+")
 _PART = re.compile(r"[^/.:?&=#_-]+")
@@ -205,7 +205,7 @@ def _scored(coded: DataFrame, key: str) -> DataFrame:
     return scored.drop("prose").join(F.broadcast(spread))
 
 
-def spam(df: DataFrame, key: str = "doc_id", text: str = "text", deviations: float = 6.25) -> DataFrame:
+def spam(df: DataFrame, key: str = "doc_id", text: str = "text", deviations: float = 7.0) -> DataFrame:
     """(key, bits) of the documents with abnormally high perplexity that do not inform (``informs``).
 
     Repeated rows give repeated rows; an empty table gives an empty result.

@@ -75,7 +75,11 @@ def test_mix(spark):
     plan = {r.source: r for r in mixing.plan(sizes, goals).collect()}
     total = sum(size.values())
     for s, (peso, rep) in {"grande": (300, 1), "b": (400, 3), "c": (290, 1), "e": (10, 2)}.items():
-        assert plan[s].size == size[s] and plan[s].short == (size[s] * rep < peso * total / 2 / 1000)
+        assert plan[s].size == size[s]
+    short = {r.source: r.short for r in mixing.shares(mixing.curriculum(sizes, goals), mixing.plan(sizes, goals)).collect()}
+    assert short == {s: size[s] * rep < peso * total / 2 / 1000 for s, (peso, rep) in {"grande": (300, 1), "b": (400, 3), "c": (290, 1), "e": (10, 2)}.items()} and set(short.values()) == {True, False}
+    # without the curriculum every source lacks its share
+    assert all(r.short for r in mixing.shares(mixing.curriculum(sizes, goals).limit(0), mixing.plan(sizes, goals)).collect())
     mix = mixing.curriculum(sizes, goals).collect()
     assert [r.position for r in mix] == sorted(r.position for r in mix) and all(0 <= r.position <= 1 for r in mix)
     used, most = Counter(), Counter()
@@ -90,14 +94,15 @@ def test_mix(spark):
     early = sum(r.size for r in mix if r.source == "b" and r.position < 0.5)
     assert early < 0.45 * used["b"]
     rep = {r.source: r for r in mixing.shares(mixing.curriculum(sizes, goals), mixing.plan(sizes, goals)).collect()}
-    assert rep["e"].tokens == 0 and rep["e"].deficit > 0 and abs(sum(r.share_pm for r in rep.values()) - 1000) < 0.1
+    assert rep["e"].size == 0 and rep["e"].deficit > 0 and abs(sum(r.share_pm for r in rep.values()) - 1000) < 0.1
 
 
 def test_mix_empty_and_null_targets(spark):
     d, _ = docs(spark)
     goals = spark.createDataFrame([("b", None, None), (None, 5, 5)], MIX)
     assert mixing.curriculum(mixing.sized(d), goals).count() == 0
-    assert mixing.plan(mixing.sized(d.limit(0)), spark.createDataFrame([("b", 5, 5)], MIX)).first().short is False
+    none = mixing.sized(d.limit(0)), spark.createDataFrame([("b", 5, 5)], MIX)
+    assert mixing.shares(mixing.curriculum(*none), mixing.plan(*none)).first().short is False
     assert mixing.curriculum(mixing.sized(d.limit(0)), spark.createDataFrame([("b", 5, 5)], MIX)).count() == 0
 
 
