@@ -4,9 +4,10 @@
    frequencies), and those that may be garbled are kept with their text's key.
 2. Each different suspect word becomes a lattice for each channel (a code page it may have been read in, once or twice, instead of
    UTF-8 or Latin-1): its characters are turned back into bytes, a lost byte is a wildcard, and the bytes are read again into letters,
-   with several letters where a byte was lost. A Viterbi search under letter-pair frequencies of the corpus finds the best paths.
-3. Paths meet the corpus' word frequencies in a join. The best reading by path cost and frequency wins. A valid UTF-8 reading is
-   accepted as it stands, a lost letter always. A one-byte reading is accepted if its word is far more frequent than the garbled one, or
+   with several letters where a byte was lost. A Viterbi search under letter-pair frequencies of the corpus finds the best path; the
+   corpus' words that a lattice with lost bytes holds are found in a join by the letters that are left.
+3. Paths meet the corpus' word frequencies in a join. The best reading by path cost and frequency wins. A reading of UTF-8 or of a
+   lost letter is accepted if its letter pairs are by ``MARGIN`` likelier than those of the word as it stands. A one-byte reading is accepted if its word is far more frequent than the garbled one, or
    occurs in records without suspect words and is better spelt, however common the damage is; a word that the corpus lacks if all
    its restored letters' pairs occur, it has a plain vowel, its garbled signs are no letters in their place, and other words prove the channel.
 4. Texts that hold an accepted word are affected; their words can be replaced by the readings.
@@ -22,7 +23,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, scan
+from .common import cut, narrowed, scan
 
 # Code pages in which bytes of the web are misread.
 CHANNELS = ("cp1252", "cp437", "cp850", "mac_roman", "cp1251")
@@ -35,8 +36,8 @@ _CLOSING = _EDGE.replace("¿", "").replace("¡", "")
 _TOKEN = re.compile(r"[A-Za-z]*[^\x00-\x7f][^\x00-\x40\x5b-\x60\x7b-\x7f]*")
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _LOST = "�"
-_BEAM = 64
 _VOWELS = frozenset("aeiou")
+MARGIN = 0.0  # nats a letter by which a reading has to be better spelt than the word as it stands
 
 
 def words(text: str) -> list[str]:
@@ -151,21 +152,65 @@ def lattices(word: str) -> list[tuple[str, list[str]]]:
     return out
 
 
-def viterbi(choices: list[str], pairs: dict[str, float], floor: float) -> list[tuple[float, str]]:
-    """The best paths through a lattice, as (cost in nats, word), the least cost first; letters have the case of the next certain one."""
-    paths = [(0.0, "")]
-    certain = [c for c in choices if len(c) == 1 and c.isalpha()]
+def _near(choices: list[str], i: int) -> str:
+    """The certain letter that gives a lost one its case: the next one, or the last."""
+    return next((c for c in choices[i + 1:] if len(c) == 1 and c.isalpha()), next((c for c in reversed(choices) if len(c) == 1 and c.isalpha()), "a"))
+
+
+def viterbi(choices: list[str], pairs: dict[str, float], floor: float) -> tuple[float, str]:
+    """The best path through a lattice, as (cost in nats, word); letters have the case of the next certain one.
+
+    The best path to each last letter is kept, which is exact under letter pairs, however many letters are lost. Ties go by letter.
+    """
+    paths = {"^": (0.0, "")}
     for i, options in enumerate(choices):
-        near = next((c for c in choices[i + 1:] if len(c) == 1 and c.isalpha()), certain[-1] if certain else "a")
-        step = []
-        for cost, w in paths:
-            last = w[-1:].lower() or "^"
+        near = _near(choices, i) if len(options) > 1 else ""
+        step: dict[str, tuple[float, str]] = {}
+        for last, (cost, w) in paths.items():
             for c in options:
-                wrong = len(options) > 1 and c.isupper() != near.isupper()
-                step.append((cost - pairs.get(last + c.lower(), floor) + 4 * bool(wrong), w + c))
-        step.sort()
-        paths = step[:_BEAM]
-    return paths
+                low = c.lower()
+                new = (cost - pairs.get(last + low, floor) + (4 if near and c.isupper() != near.isupper() else 0), w + c)
+                if low not in step or new < step[low]:
+                    step[low] = new
+        paths = step
+    return min(paths.values())
+
+
+def fitting(key: str, choices: list[str], pairs: dict[str, float], floor: float) -> tuple[float, str] | None:
+    """The path of a lattice that is a word of the vocabulary, given in lower case: (cost, word in the lattice's case); nothing if none is."""
+    if len(key) != len(choices):
+        return None
+    out = []
+    for i, (c, options) in enumerate(zip(key, choices)):
+        if len(options) > 1 and _near(choices, i).isupper():
+            c = c.upper()
+        elif len(options) == 1 and options.lower() == c:
+            c = options
+        if c not in options:
+            return None
+        out.append(c)
+    low = "^" + key
+    return -sum(pairs.get(a + b, floor) for a, b in zip(low, low[1:])), "".join(out)
+
+
+def skeleton(word: str) -> str:
+    """A word in lower case with a mark for each letter beyond ASCII."""
+    return "".join(c if c.isascii() else _LOST for c in word.lower())
+
+
+def _trim(choices: list[str]) -> tuple[int, int]:
+    """Where a lattice begins and ends without quotes and dashes."""
+    a, b = 0, len(choices)
+    while a < b and len(choices[a]) == 1 and choices[a] in _EDGE:
+        a += 1
+    while b > a and len(choices[b - 1]) == 1 and choices[b - 1] in _EDGE:
+        b -= 1
+    return a, b
+
+
+def _clearer(own: float, word: str, cost: float, reading: str) -> float:
+    """By how many nats a letter a reading is better spelt than the word."""
+    return own / max(len(word), 1) - cost / max(len(reading), 1)
 
 
 def _accented(word: str) -> bool:
@@ -224,22 +269,39 @@ def readings(found: DataFrame, times: float = 4.0, seen: int = 3) -> DataFrame:
             own = spelling(low)[0]
             signs = len(low) >= 5 and not _VOWELS.isdisjoint(low) and all(c.isascii() or c in _USUAL and c.islower() or not c.isalpha() or c.isupper() and word[:i][-1:].islower() for i, c in enumerate(word))
             for channel, choices in lattices(word):
-                best = viterbi(choices, logs, floor)
-                least = best[0][0]
-                for cost, reading in best:
-                    reading = unicodedata.normalize("NFC", reading)  # a combining accent may have been garbled by itself
-                    if _accented(reading) and reading != word:
-                        key = reading.lower().strip(_EDGE)
-                        spelt, known = spelling(key, low)
-                        yield word, low, reading, key, channel, cost - least + (0.0 if "/utf8/" in channel else 2.0), own - spelt, signs and known
-
-    tried = scan(found.where("tabla is not null").select("word").distinct(), "word string, low string, reading string, key string, channel string, cost double, gain double, plain boolean", rows)
+                a, b = _trim(choices)
+                wild = [low, channel, choices, skeleton("".join(c if len(c) == 1 else _LOST for c in choices[a:b]))] if any(len(c) > 1 for c in choices) else [low, channel, None, None]
+                cost, reading = viterbi(choices, logs, floor)
+                reading = unicodedata.normalize("NFC", reading)  # a combining accent may have been garbled by itself
+                key = reading.lower().strip(_EDGE)
+                spelt, known = spelling(key, low)
+                if _accented(reading) and reading != word:
+                    yield word, *wild, reading, key, cost, 0.0, own - spelt, _clearer(own, low, spelt, key), signs and known
+
+    # words of the corpus that a lattice with lost letters holds, by the letters that are left: no path is left out
+    columns = "word string, low string, channel string, choices array<string>, skeleton string, reading string, key string, best double, cost double, gain double, clearer double, plain boolean"
+    paths = cut(scan(found.where("tabla is not null").select("word").distinct(), columns, rows))
+    marks = usual.where(~F.col("word").rlike("^[a-z]+$")).select(F.regexp_replace("word", "[^a-z]", _LOST).alias("skeleton"), F.col("word").alias("entry"))
+    lost = paths.where("skeleton is not null").join(marks, "skeleton").select(*paths.columns, "entry")
+
+    def enter(it):
+        for word, low, channel, choices, bones, reading, key, best, _, gain, clearer, plain, entry in it:
+            a, b = _trim(choices)
+            fits = fitting(entry, choices[a:b], logs, floor)
+            if fits and entry != key:
+                own = spelling(low)[0]
+                yield word, low, channel, None, None, "".join(choices[:a]) + fits[1] + "".join(choices[b:]), entry, best, fits[0] - best, own - fits[0], _clearer(own, low, fits[0], entry), plain
+
+    tried = paths.unionByName(scan(lost, columns, enter)).drop("choices", "skeleton", "best")
+    tried = tried.withColumn("cost", F.col("cost") + F.when(F.col("channel").contains("/utf8/"), 0.0).otherwise(2.0))
     rated = (
         tried.join(vocabulary.select(F.col("word").alias("key"), "freq", "whole"), "key", "left").join(vocabulary.select(F.col("word").alias("low"), F.col("freq").alias("own")), "low", "left")
         .fillna(0, ["freq", "own", "whole"]).withColumn("score", F.log1p("freq") * 2 - F.col("cost"))
     )
-    sure = F.col("channel").contains("/utf8/") | ((F.col("channel") == "lost") & (F.col("freq") > 0)) | ((F.col("channel") == "lost") & (F.length("low") > 3))
-    rated = cut(rated.withColumn("kept", sure | ((F.col("freq") >= seen) & (F.col("freq") >= times * F.col("own"))) | ((F.col("whole") >= seen) & (F.col("gain") > 0))))
+    # every reading has to be better spelt, letter by letter, than the word as it stands
+    sure = F.col("channel").contains("/utf8/") | ((F.col("channel") == "lost") & ((F.col("freq") > 0) | (F.length("low") > 3)))
+    often = ((F.col("freq") >= seen) & (F.col("freq") >= times * F.col("own"))) | ((F.col("whole") >= seen) & (F.col("gain") > 0))
+    rated = cut(rated.withColumn("kept", sure & (F.col("clearer") > MARGIN) | ~sure & often))
     # a channel that words of the corpus prove also explains words that it lacks; the better spelt reading comes first
     proven = rated.where("kept").groupBy("channel").agg(F.count_distinct("word").alias("w")).where(F.col("w") >= seen).select("channel")
     held = rated.where("kept").select("word").distinct()
@@ -265,7 +327,7 @@ def restored(texts: DataFrame) -> DataFrame:
     equal give one row.
     """
     found = cut(evidence(texts))
-    per = (
+    per = cut(
         found.where("tabla is not null").join(readings(found), "word").groupBy("tabla", "clave")
         .agg(F.collect_set(F.struct("word", "reading", "freq")).alias("r"))
     )
@@ -277,8 +339,9 @@ def restored(texts: DataFrame) -> DataFrame:
                 text = unicodedata.normalize("NFC", text)
             yield tabla, clave, _TOKEN.sub(lambda m: said.get(m.group(), m.group()), text), len(said), sum(not x["freq"] for x in r)
 
-    both = texts.where(F.col("text").isNotNull()).select("tabla", "clave", "text").distinct().join(per, ["tabla", "clave"])
-    return scan(both, "tabla string, clave string, restored string, words int, unsure int", rows)
+    # only affected texts are shuffled; equal rows are told apart by the hash of their text
+    near = narrowed(texts.where(F.col("text").isNotNull()).select("tabla", "clave", "text"), per, ["tabla", "clave"]).dropDuplicates(["tabla", "clave", "text"])
+    return scan(near.join(per, ["tabla", "clave"]), "tabla string, clave string, restored string, words int, unsure int", rows)
 
 
 def texts_of(tabla: str, df: DataFrame, clave: Column, text: Column) -> DataFrame:

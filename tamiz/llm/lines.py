@@ -2,15 +2,16 @@
 
 1. One pass cuts each text into lines and folds them. A line's key is the hash of its journal and of its letters and digits without
    case and accents. Its mask has numbers and dates as 0 and capitalised names inside the line as X; the set of the mask's five-word
-   shingles, as 32-bit hashes in order, is kept once for each mask of a journal. No text is shuffled.
+   shingles, as hashes of 24 bits in order, is kept once for each mask of a journal, with the MinHash bands of the set. No text is shuffled.
 2. (key, pid) is made distinct, then counted by key: two steps, so no journal and no line is a hot group.
-3. Two sets of Jaccard similarity 0.8 share one of their least shingles (prefix filter: of n the n - ceil(0.8 n) + 1 least), so masks of
-   a journal that share one form a bucket. A set's parity is 64 bits, each shingle turns one over: parities differ in no more bits than
-   the sets do in shingles, so members without another of fit parity and size go. The others are compared by the exact similarity; no
-   pair of 0.8 is missed.
+3. Locality-sensitive hashing within a journal: BANDS bands of ROWS least hashes each; masks that agree in a band share a bucket. Two sets
+   of Jaccard similarity 0.8 share one with probability 0.986, of 0.85 with 0.997, of 0.9 with 0.9996. A set's parity is 64 bits, each shingle
+   turns one over: parities differ in no more bits than the sets do in shingles, so members without another of fit parity and size go.
+   The others are compared by the exact similarity. A bucket of more than HOT members is no task's group: its members are spread over
+   buckets of a shingle each, the rarest in that bucket first, of which two sets of 0.8 share one (prefix filter); no link is lost.
 4. The links are followed to a fixed point; a component is a cluster. It is boilerplate if its lines occur in at least ``least``
    distinct pids and ``share`` of the journal's distinct pids.
-5. ``exact=True`` finds the lines that reach both bounds by themselves; each is its own cluster, so steps 3 and 4 are left out.
+5. ``exact=True`` then checks the lines of these clusters: each has to reach both bounds by itself.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ SIMILAR = (4, 5)  # the least Jaccard similarity of a pair, 0.8, as a fraction
 _WORDS = re.compile(r"[^\W_]+")
 _MASK = (1 << 64) - 1
 _CHUNK = 4_000
+ROWS, BANDS = 3, 6
+HOT = 3_000  # members of a bucket that one task compares
+_WIDTH = 3  # bytes of a shingle's hash in a set
 
 
 def signed(x: int) -> int:
@@ -58,8 +62,19 @@ class _Hashes(dict):
         return out
 
 
-def shingles(masks: list[list[str]], known: dict[str, int]) -> tuple[list[bytes], list[int]]:
-    """The set of each mask's shingles: different 32-bit hashes, least first, packed; and its parity."""
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    """Another hash of each hash."""
+    with np.errstate(over="ignore"):
+        y = (x + np.uint64(salt) * _GOLDEN) * np.uint64(0xFF51AFD7ED558CCD)
+        y ^= y >> np.uint64(32)
+        return y * np.uint64(0xC4CEB9FE1A85EC53)
+
+
+def shingles(masks: list[list[str]], known: dict[str, int]) -> tuple[list[bytes], list[int], np.ndarray]:
+    """The set of each mask's shingles: different hashes of 24 bits, least first, packed; its parity; and a row of its bands."""
     sizes = np.array([max(len(m), SHINGLE) for m in masks])
     flat = np.array([h for m in masks for h in (*map(known.__getitem__, m), *(0,) * (SHINGLE - len(m)))], dtype=np.uint64)
     with np.errstate(over="ignore"):
@@ -71,11 +86,25 @@ def shingles(masks: list[list[str]], known: dict[str, int]) -> tuple[list[bytes]
         total ^= total >> np.uint64(29)
     line = np.repeat(np.arange(len(masks), dtype=np.uint64), sizes)[: len(total)]
     whole = np.arange(len(total)) + SHINGLE <= np.cumsum(sizes)[line.astype(np.int64)]
-    both = np.unique((line[whole] << np.uint64(32)) | (total[whole] >> np.uint64(32)))
-    packed = (both & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
-    ends = np.searchsorted(both >> np.uint64(32), np.arange(len(masks) + 1, dtype=np.uint64)) * 4
-    parity = np.bitwise_xor.reduceat(np.uint64(1) << (both & np.uint64(63)), ends[:-1] // 4).view(np.int64)  # no set is empty
-    return [packed[a:b] for a, b in zip(ends, ends[1:])], parity.tolist()
+    both = np.unique((line[whole] << np.uint64(32)) | (total[whole] >> np.uint64(40)))
+    token = both & np.uint64(0xFFFFFF)
+    packed = token.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_WIDTH].tobytes()
+    starts = np.searchsorted(both >> np.uint64(32), np.arange(len(masks) + 1, dtype=np.uint64))
+    parity = np.bitwise_xor.reduceat(np.uint64(1) << (token & np.uint64(63)), starts[:-1]).view(np.int64)  # no set is empty
+    bands = np.empty((len(masks), BANDS), dtype=np.uint64)
+    for band in range(BANDS):
+        h = np.full(len(masks), band, dtype=np.uint64)
+        for row in range(ROWS):
+            h = _mixed(h ^ np.minimum.reduceat(_mixed(token, 1 + band * ROWS + row), starts[:-1]), 99)
+        bands[:, band] = h
+    return [packed[a * _WIDTH:b * _WIDTH] for a, b in zip(starts, starts[1:])], parity.tolist(), bands.view(np.int64)
+
+
+def unpacked(s: bytes) -> list[int]:
+    """The hashes of a set, least first."""
+    wide = np.zeros((len(s) // _WIDTH, 4), dtype=np.uint8)
+    wide[:, :_WIDTH] = np.frombuffer(s, dtype=np.uint8).reshape(-1, _WIDTH)
+    return wide.view("<u4").ravel().tolist()
 
 
 def prefix(n: int) -> int:
@@ -88,7 +117,7 @@ def keyed_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str
 
     (t, p, j, ns, ks) for a text: hashes of its pid and journal, numbers and keys of its lines of at least ``shortest`` letters and digits.
     (fk, fm, sj, sm, ss, sb, st) for a stretch of texts: the different keys in it with their masks' hashes; journals, hashes, shingle sets,
-    parities and least shingles of the different masks that another can be similar to. A mask's hash is that of its journal and shingles.
+    parities and bands of the different masks that another can be similar to. A mask's hash is that of its journal and shingles.
     """
     kind = df.schema[key].dataType.simpleString()
 
@@ -98,13 +127,12 @@ def keyed_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str
 
         def flush():
             if fresh:
-                sets, parity = shingles([m for _, m in fresh.values()], known)
+                sets, parity, bands = shingles([m for _, m in fresh.values()], known)
                 ms = [signed(xxhash.xxh64_intdigest(x, j & _MASK)) for (j, _), x in zip(fresh.values(), sets)]
                 # sets of up to three are similar only to equal ones
-                once = {m: (j, x, b) for m, (j, _), x, b in zip(ms, fresh.values(), sets, parity) if len(x) > 12}
-                js, xs, bs = zip(*once.values()) if once else ((), (), ())
-                least = [np.frombuffer(x, dtype="<i4")[: prefix(len(x) // 4)].tolist() for x in xs]
-                yield None, None, None, None, None, list(fresh), ms, js, list(once), xs, bs, least
+                once = {m: (j, x, b, h) for m, (j, _), x, b, h in zip(ms, fresh.values(), sets, parity, bands.tolist()) if len(x) > 3 * _WIDTH}
+                js, xs, bs, hs = zip(*once.values()) if once else ((), (), (), ())
+                yield None, None, None, None, None, list(fresh), ms, js, list(once), xs, bs, hs
             fresh.clear()
             if len(known) > 500_000:
                 known.clear()
@@ -130,33 +158,57 @@ def keyed_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str
                 yield from flush()
         yield from flush()
 
-    schema = f"t {kind}, p bigint, j bigint, ns array<int>, ks array<bigint>, fk array<bigint>, fm array<bigint>, sj array<bigint>, sm array<bigint>, ss array<binary>, sb array<bigint>, st array<array<int>>"
+    schema = f"t {kind}, p bigint, j bigint, ns array<int>, ks array<bigint>, fk array<bigint>, fm array<bigint>, sj array<bigint>, sm array<bigint>, ss array<binary>, sb array<bigint>, st array<array<bigint>>"
     return scan(df.where(F.col(text).isNotNull() & F.col(pid).isNotNull()).select(key, pid, text), schema, rows)
 
 
 def links(sets: DataFrame) -> DataFrame:
-    """(m, to): masks of a journal that are at least 0.8 similar, enough of them to join all that are.
+    """(m, to): masks of a journal that share a bucket and are at least 0.8 similar, enough of them to join all that are.
 
-    sets is (j, m, s, parity, least), rows may repeat. A bucket is the 64-bit hash of a journal and a shingle.
+    sets is (j, m, s, parity, bands), rows may repeat. A bucket is the 64-bit hash of a journal and a band.
     """
-    n = (F.length("s") / 4).cast("int").alias("n")
-    tokens = sets.select("j", "m", n, "parity", F.explode("least").alias("token")).select(F.xxhash64("j", "token").alias("bucket"), "token", "m", "n", "parity")
-    near = tokens.repartition("bucket").sortWithinPartitions("bucket", "n", "m").mapInArrow(fit, "bucket bigint, token int, m bigint")
+    n = (F.length("s") / _WIDTH).cast("int").alias("n")
+    buckets = sets.select("m", n, "parity", "j", F.explode("bands").alias("band")).select(F.xxhash64("j", "band").alias("bucket"), "m", "n", "parity")
+    near = buckets.repartition("bucket").sortWithinPartitions("bucket", "n", "m").mapInArrow(fit, "bucket bigint, m bigint, hot boolean")
     members = cut(near)
     one = narrowed(sets.select("m", "s"), members, "m").groupBy("m").agg(F.first("s").alias("s"))
-    buckets = members.join(one, "m").select("bucket", "token", "m", "s").repartition("bucket").sortWithinPartitions("bucket", "m")
-    return cut(scan(buckets, "m bigint, to bigint", compare).distinct())
+    both = members.join(one, "m")
+    hot = cut(both.where("hot").drop("hot"))
+    rows = both.where("not hot").select("bucket", "m", "s")
+    if not hot.isEmpty():
+        rows = rows.unionByName(spread_bucket(hot))
+    return cut(scan(rows.repartition("bucket").sortWithinPartitions("bucket", "m"), "m bigint, to bigint", compare).distinct())
+
+
+def spread_bucket(hot: DataFrame) -> DataFrame:
+    """(bucket, m, s) of the members (bucket, m, s) of large buckets, in a smaller one for each of their rarest shingles.
+
+    Of two sets of 0.8 the prefixes share a shingle in any order, so also in that of their counts in the bucket. Counts are summed
+    before they are shuffled, and a member meets them by (bucket, shingle); no bucket is a group.
+    """
+    tokens = scan(hot, "bucket bigint, m bigint, n int, token int", lambda it: ((b, m, len(s) // _WIDTH, t) for b, m, s in it for t in unpacked(s)))
+    counted = tokens.groupBy("bucket", "token").agg(F.count(F.lit(1)).alias("c"))
+    order = F.array_sort(F.collect_list(F.struct("c", "token")))  # of one set
+    ranked = tokens.join(counted, ["bucket", "token"]).groupBy("bucket", "m", "n").agg(order.alias("o"))
+    least = F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]).cast("int") + 1
+    first = ranked.select("bucket", "m", F.explode(F.slice("o.token", F.lit(1), least)).alias("token"))
+    return first.join(hot, ["bucket", "m"]).select(F.xxhash64("bucket", "token").alias("bucket"), "m", "s")
 
 
 def fit(batches):
-    """Of buckets' members, in order of bucket, size and mask, those with another in their bucket that can be 0.8 similar by size and parity."""
+    """Of buckets' members, in order of bucket, size and mask, those with another in their bucket that can be 0.8 similar by size and parity.
+
+    All members of a bucket of more than HOT are let through, marked; it is looked at only as far as that is known.
+    """
     def some(t: pa.Table) -> pa.RecordBatch:
-        bucket, token, m, n, parity = (t.column(c).to_numpy() for c in ("bucket", "token", "m", "n", "parity"))
+        bucket, m, n, parity = (t.column(c).to_numpy() for c in ("bucket", "m", "n", "parity"))
         first = np.ones(len(m), dtype=bool)
         first[1:] = (bucket[1:] != bucket[:-1]) | (m[1:] != m[:-1])
-        bucket, token, m, n, parity = (x[first] for x in (bucket, token, m, n, parity))
-        good = np.zeros(len(m), dtype=bool)
-        i, away = np.arange(len(m)), 0
+        bucket, m, n, parity = (x[first] for x in (bucket, m, n, parity))
+        start = np.flatnonzero(np.diff(bucket, prepend=~bucket[0]))
+        hot = np.repeat(np.diff(np.append(start, len(m))) > HOT, np.diff(np.append(start, len(m))))
+        good = hot.copy()
+        i, away = np.flatnonzero(~hot), 0
         while len(i):  # each member with the one next to it, then the one after, as far as the sizes go
             away += 1
             i = i[i + away < len(m)]
@@ -164,36 +216,56 @@ def fit(batches):
             apart = np.bitwise_count((parity[i] ^ parity[i + away]).view(np.uint64)).astype(np.int64)
             both = i[apart * sum(SIMILAR) <= (n[i] + n[i + away]) * (SIMILAR[1] - SIMILAR[0])]
             good[both] = good[both + away] = True
-        return pa.RecordBatch.from_arrays([pa.array(x[good]) for x in (bucket, token, m)], names=["bucket", "token", "m"])
+        return pa.RecordBatch.from_arrays([pa.array(x[good]) for x in (bucket, m, hot)], names=["bucket", "m", "hot"])
 
-    held = []
+    held, rows, passing = [], 0, None
     for b in batches:
-        held.append(b)
-        if sum(x.num_rows for x in held) < 100_000:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b])
+        if passing is not None:  # the rest of a bucket that is known to be large
+            end = int(np.searchsorted(t.column("bucket").to_numpy(), passing, side="right"))
+            if end:
+                m = t.column("m").slice(0, end).combine_chunks()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(end, passing)), m, pa.array(np.ones(end, dtype=bool))], names=["bucket", "m", "hot"])
+            t = t.slice(end)
+            if not t.num_rows:
+                continue
+            passing = None
+        held += t.to_batches()
+        rows += t.num_rows
+        if rows < 100_000:
             continue
         t = pa.Table.from_batches(held)
-        at = t.column("bucket").to_numpy()
-        end = int(np.searchsorted(at, at[-1]))  # the last bucket may go on
+        end = int(np.searchsorted(t.column("bucket").to_numpy(), t.column("bucket")[t.num_rows - 1].as_py()))  # the last bucket may go on
         if end:
             yield some(t.slice(0, end))
-        held = t.slice(end).to_batches()
-    if held:
+        t = t.slice(end)
+        if t.num_rows > HOT and len(np.unique(t.column("m").to_numpy())) > HOT:
+            passing = t.column("bucket")[0].as_py()
+            yield some(t)
+            t = t.slice(t.num_rows)
+        held, rows = t.to_batches(), t.num_rows
+    if held and rows:
         yield some(pa.Table.from_batches(held))
 
 
 def compare(rows):
-    """The links of buckets, given as rows (bucket, shingle, mask, set) in order.
+    """The links of buckets, given as rows (bucket, mask, set) in order.
 
-    Each member is compared with those before it, but for ones that are joined with it already. A set similar to it shares two of
-    the least prefix() + 1 shingles, so only members with another one in common are looked at.
+    Each member is compared with those before it, but for ones that are joined with it already. A set similar to it shares one of
+    the least prefix() shingles, so only members with one in common are looked at.
     """
     bucket = None
-    for b, token, m, s in rows:
+    for b, m, s in rows:
         if b != bucket:
-            bucket, index, sets, group = b, {}, [], []
-        x = np.frombuffer(s, dtype="<u4")
-        n, mine = len(x), frozenset(x.tolist())
-        least = [t for t in x[: prefix(n) + 1].tolist() if t != token & 0xFFFFFFFF]
+            bucket, index, sets, group, held = b, {}, [], [], set()
+        if m in held:
+            continue
+        held.add(m)
+        x = unpacked(s)
+        n, mine = len(x), frozenset(x)
+        least = x[: prefix(n)]
         me = len(sets)
         group.append(me)
         done = set()
@@ -208,8 +280,8 @@ def compare(rows):
                     continue
                 both = len(mine & theirs)
                 if both * SIMILAR[1] >= (n + k - both) * SIMILAR[0]:
-                    a, b = sorted((_root(group, other), _root(group, me)))
-                    group[b] = a
+                    a, c = sorted((_root(group, other), _root(group, me)))
+                    group[c] = a
                     yield m, to
         for t in least:
             index.setdefault(t, []).append(me)
@@ -244,7 +316,7 @@ def clusters(keys: DataFrame, sets: DataFrame) -> DataFrame:
     tree = components(links(sets))
     named = keys.distinct().join(tree, "m", "left").select("k", F.coalesce("cluster", "m").alias("c"))
     several = cut(named.groupBy("c").agg(F.min("k").alias("cluster"), F.max("k").alias("top")).where("cluster < top").select("c", "cluster"))
-    return narrowed(named, several, "c").join(several, "c").select("k", "cluster")
+    return named.join(several, "c").select("k", "cluster")
 
 
 def repeated_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str = "text", least: int = 5, share_pm: int = 50, exact: bool = False) -> DataFrame:
@@ -262,12 +334,9 @@ def repeated_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text:
     )
     total = _totals(df, pid)
     often = lambda n: (F.col(n) >= least) & (F.col(n) * 1000 >= F.col("pids") * share_pm)
-    if exact:  # a line that reaches the bounds by itself does so in any cluster
-        sized = counts.where(F.col("line_pids") >= least).join(total, "j").where(often("line_pids"))
-        return _occurrences(texts, cut(sized.select("k", F.col("k").alias("cluster"), F.col("line_pids").alias("cluster_pids"), "line_pids")), key)
     stretch = both.where("t is null")
     keys = stretch.select(F.inline(F.arrays_zip("fk", "fm"))).toDF("k", "m")
-    sets = stretch.select(F.inline(F.arrays_zip("sj", "sm", "ss", "sb", "st"))).toDF("j", "m", "s", "parity", "least")
+    sets = stretch.select(F.inline(F.arrays_zip("sj", "sm", "ss", "sb", "st"))).toDF("j", "m", "s", "parity", "bands")
     member = cut(clusters(keys, sets))
     # the pids of a cluster of several keys, each once
     size = texts.select("p", F.explode("ks").alias("k")).join(member, "k").select("cluster", "p").distinct().groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
@@ -275,7 +344,10 @@ def repeated_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text:
         counts.join(member, "k", "left").withColumn("cluster", F.coalesce("cluster", "k")).join(size, "cluster", "left")
         .withColumn("cluster_pids", F.coalesce("c", "line_pids")).where(F.col("cluster_pids") >= least).join(total, "j")
     )
-    kept = cut(sized.where(often("cluster_pids")).select("k", "cluster", "cluster_pids", "line_pids"))
+    kept = sized.where(often("cluster_pids"))
+    if exact:
+        kept = kept.where(often("line_pids"))
+    kept = cut(kept.select("k", "cluster", "cluster_pids", "line_pids"))
     return _occurrences(texts, kept, key)
 
 

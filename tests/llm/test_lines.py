@@ -90,14 +90,14 @@ def near(data, least, share):
     return {(i, n, c) for x in every if (c := len(size[root(x)])) >= least and c * 1000 >= share * len(total[x[0]]) for i, n in at[x]}
 
 
-def test_no_similar_pair_is_missed(spark):
+def families():
     r = random.Random(4)
     word = lambda: "".join(r.choice("abcdefghilmnopqrstu") for _ in range(r.randrange(3, 9)))
     opening = [word() for _ in range(12)]  # families that share it are not similar to each other, and their lines are not copies
-    families = [opening + [word() for _ in range(r.randrange(30, 60))] for _ in range(25)]
+    sorts = [opening + [word() for _ in range(r.randrange(30, 60))] for _ in range(25)]
     data = []
     for i in range(150):
-        base = list(families[i % 25])
+        base = list(sorts[i % 25])
         for _ in range(1 + len(base) // 60):
             base[r.randrange(12, len(base))] = word()
         data.append((f"S{1111 + i % 2}-11112001{i:09d}", " ".join(base)))
@@ -105,8 +105,32 @@ def test_no_similar_pair_is_missed(spark):
     for i in range(12):  # each is similar to the next ones only
         chain[4 * i + 3] = word()
         data.append((f"S1111-11112001{200 + i:09d}", " ".join(chain)))
-    got = {(x.task_id, x.line_no, x.cluster_pids) for x in lines.repeated_lines(table(spark, data), least=2, share_pm=1).collect()}
-    assert got == near(data, 2, 1) and {x[2] for x in got} >= {2, 3, 12}
+    return data
+
+
+def test_clusters_equal_brute_force(spark, monkeypatch):
+    data = families()
+    found = lambda: {(x.task_id, x.line_no, x.cluster_pids) for x in lines.repeated_lines(table(spark, data), least=2, share_pm=1).collect()}
+    want = near(data, 2, 1)
+    first = lambda xs: {x for x in xs if x[0] < 150}
+    got = found()
+    assert first(got) == first(want) and {x[2] for x in want} >= {2, 3, 12} and {x[:2] for x in got} <= {x[:2] for x in want}  # the chain may fall apart at a missed link
+    monkeypatch.setattr(lines, "HOT", 4)  # large buckets are spread over others, without a loss
+    assert first(found()) == first(want)
+
+
+def test_recall_of_pairs(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghilmnopqrstu") for _ in range(r.randrange(3, 9)))
+    data = []
+    for i in range(400):  # pairs of similarity 0.80 to 0.85: three words apart of 60 to 90
+        base = [word() for _ in range(r.randrange(76, 100))]
+        other = list(base)
+        for at in (10, 30, 50)[: 2 if len(base) < 80 else 3]:
+            other[at] = word()
+        data += [(f"S1111-11112001{2 * i + k:09d}", " ".join(x)) for k, x in enumerate((base, other))]
+    want, got = near(data, 2, 1), {(x.task_id, x.line_no, x.cluster_pids) for x in lines.repeated_lines(table(spark, data), least=2, share_pm=1).collect()}
+    assert len(want) > 300 and got <= want and len(got) >= 0.97 * len(want)
 
 
 def test_components(spark):
