@@ -31,7 +31,7 @@ NAVIGATION = (
     "buscar|busqueda|ayuda|normas|envios|registrarse|registro|iniciar sesion|cerrar sesion|estadisticas|mapa del sitio|acerca de|"
     "comite editorial|equipo editorial|menu|prensa|accesibilidad|privacidad|reclamos|terminos|terminos y condiciones|politica de cookies|"
     "politica de privacidad|configurar privacidad|aceptar todas|aceptar|rechazar|configurar|mas informacion|descargar pdf|ver en html|"
-    "imprimir|enviar por correo|enviar|correo|compartir|copiar enlace|mensajeria|trino|facebuk|facebook|twitter|whatsapp|linkedin|telegram|"
+    "imprimir|enviar por correo|enviar|correo|compartir|copiar enlace|mensajeria|facebook|twitter|whatsapp|linkedin|telegram|"
     "volver arriba|subir|anterior|siguiente|siguiente articulo|articulo anterior|reportar un error|deje un comentario|comentarios|"
     "suscribirse|suscripcion|home|about|contact|search|login|log in|register|current issue|archives|print|share|help|sitemap|menu principal|"
     "home page|privacy|privacy policy|terms of use|cookies|usamos cookies|de acuerdo|portada|noticias|servicios|servicios personalizados|"
@@ -49,7 +49,7 @@ SIDE_HEADINGS = (
 PAGE_PHRASES = (
     r"cookies?\b|rastreadores|almacena preferencias|datos de navegaci|su visita de forma|acepta su uso|experiencia de lectura|"
     r"retirar su permiso|avisos afines|derechos reservados|all rights reserved|licencia abierta|published with permission|"
-    r"dep\S{1,3}sito legal|ceden los derechos|fondo editorial|opiniones vertidas|responsabilidad exclusiva|copyright|unidad de publicaciones|"
+    r"dep\S{1,3}sito legal|ceden los derechos|fondo editorial|responsabilidad exclusiva|copyright|unidad de publicaciones|"
     r"equipo de redacci|sitio desarrollado|en tus redes|con sus colegas|comparta este|comparte este|suscr\S{1,3}base|bolet\S{1,3}n (?:mensual|semanal|de novedades)|"
     r"newsletter|share this|s\S{1,3}guenos|follow us|visitante n|ltima actualizaci|last updated|recuperado de http|retrieved from http|"
     r"correspondencia editorial|saltar al contenido|skip to (?:main )?content|volver arriba|back to top|tama\S{1,3}o de letra|"
@@ -59,7 +59,7 @@ PAGE_PHRASES = (
 
 # Words of which each phrase above holds at least one; lines without any of them are not searched.
 PAGE_TRIGGERS = (
-    "cookie cookies rastreadores almacena datos visita acepta experiencia retirar afines derechos reserved licencia permission legal ceden fondo opiniones "
+    "cookie cookies rastreadores almacena datos visita acepta experiencia retirar afines derechos reserved licencia permission legal ceden fondo "
     "exclusiva copyright unidad equipo sitio redes colegas comparta comparte mensual semanal novedades newsletter share siguenos follow visitante "
     "actualizacion updated recuperado retrieved editorial saltar skip arriba top letra anterior privacidad issn powered siguiente correo pdf error comentario "
     "actual iniciar ltima"

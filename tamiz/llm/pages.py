@@ -5,9 +5,11 @@ leaf with one tag. Every node has characters C, tags T, link characters LC and l
 
     CTD = C/T * log_b( C/LC * T/LT ),   b = ln( C/(C-LC) * LC + LC_body/C_body * C + e )
 
-The subtree with the largest sum of its children's densities is the main one. The least density on its path to the body is the
-threshold: a container below it, and a leaf that is mostly link text, is page. Plain text has no <a>, so the lines whose words are
-only those of navigation, prompts and notices (``lexicon``) count as link characters. Pure Python without Spark, one pass a text.
+The subtree with the largest sum of its children's densities is the main one. Plain text has no <a>: a line that recurs in the pages of
+its site or of several sites is link text (``repeated``, from corpus counts), unless it has the form of a heading, date, author, keyword,
+caption, reference or table line; a line that reads like navigation, a prompt or a notice (``lexicon``) is so in part, as is a recurring sentence. A
+line is page if its density, as a share of what it would be without link text and scaled by its block's share, is below half the least
+share on the path from the main subtree to the body; in marked-up pages also if its container is. Pure Python without Spark, one pass a text.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections.abc import Callable
 from typing import NamedTuple
 
 from . import lexicon as X
@@ -187,6 +190,12 @@ def density(c: float, t: float, lc: float, lt: float, body_c: float, body_lc: fl
     return c / (t or 1) * math.log(much if much > 1.0001 else 1.0001) / math.log(base if base > 1.0001 else 1.0001)
 
 
+def relative_density(c: float, t: float, lc: float, lt: float, body_c: float, body_lc: float) -> float:
+    """A node's density as a share of what it would be without link text; 1 for an empty node."""
+    whole = density(c, t, 0.0, 0.0, body_c, body_lc)
+    return density(c, t, lc, lt, body_c, body_lc) / whole if whole > 0 else 1.0
+
+
 _cache: dict[str, tuple[str, bool, list[str]]] = {}
 
 
@@ -230,12 +239,37 @@ def _titleish(s: str, low: str) -> bool:
     return bool(s) and len(s) < 130 and s[-1] not in ".;,:" and s[:1].isupper() and 2 <= low.count(" ") + 1 <= 18 and low not in _HEADS and not _AUTHORS.match(s) and not _DATES.match(low)
 
 
+PRIOR = 0.6  # the part of a line's characters that are link text if it reads like one
+RECURRING = 0.15  # the same of a sentence, or a piece of one, that recurs: a notice, or a statement of the article
+_DIGITS = re.compile(r"\d+")
+_MARKS = re.compile(r"[\W_]+")
+
+
+def line_key(low: str) -> str:
+    """A folded line's letters and digits, with 0 for numbers, by which lines of pages recur."""
+    return _DIGITS.sub("0", _MARKS.sub(" ", low)).strip()
+
+
+def recurs_by_form(s: str, low: str) -> bool:
+    """Whether a line of this form may recur in articles: headings, dates, authors, keywords, captions, references and rows of tables."""
+    return low.strip(" .:") in _HEADS or bool(_DATES.match(low) or _KEY.match(low) or _CAPTION.match(low) or _ROW.search(s) or _REFTAIL.search(s) or _AUTHORS.match(s) or _PAIR.match(s))
+
+
+def _mass(s: str, low: str, reads: bool, repeated: Callable[[str], bool] | None) -> float:
+    """The part of a line's characters that count as link text."""
+    if repeated is not None and len(low) > 1 and (reads or not recurs_by_form(s, low)) and repeated(low):
+        words = _WORD.findall(low)
+        sentence = s[:1].islower() or len(words) > 4 and prose_share(words) >= 0.2
+        return RECURRING if sentence and not reads else 1.0
+    return PRIOR if reads else 0.0
+
+
 def prose_share(words: list[str]) -> float:
     return sum(map(FUNCTION.__contains__, words)) / len(words) if words else 0.0
 
 
-def page_lines(text: str | None) -> list[Line]:
-    """Every line of a text with its kind; null gives no line, a blank text blank lines."""
+def page_lines(text: str | None, repeated: Callable[[str], bool] | None = None) -> list[Line]:
+    """Every line of a text with its kind; null gives no line, a blank text blank lines. ``repeated`` tells folded lines that recur in pages."""
     if text is None:
         return []
     raw = repair(text).split("\n")
@@ -249,7 +283,7 @@ def page_lines(text: str | None) -> list[Line]:
     open_, names = [0], [""]
     after_blank = True
     inside_, link = "", 0  # the end of a script, style or comment, and a link, that go on from the line before
-    ends = {e: max((i for i, r in enumerate(raw) if e in r.lower()), default=-1) for e in ("</script", "</style", "-->", "</a")} if html else {}
+    ends = {e: max((i for i, r in enumerate(raw) if e in r.lower()), default=-1) for e in ("</script", "</style", "-->", "</a", ">")} if html else {}
     for i, r in enumerate(raw):
         tags = links = 0
         markup = False
@@ -259,7 +293,7 @@ def page_lines(text: str | None) -> list[Line]:
             if at < 0:
                 where[i], page[i] = open_[-1], bool(s)
                 continue
-            s = s[at + (3 if inside_ == "-->" else 0):]
+            s = s[at + {"-->": 3, ">": 1}.get(inside_, 0):]
             inside_ = ""
             if not s:
                 where[i], page[i] = open_[-1], True
@@ -275,6 +309,8 @@ def page_lines(text: str | None) -> list[Line]:
                     lc += len(piece) if link else 0
                 tags, markup = tags + 1, True
                 name = (m.group(2) or m.group(5) or "").lower()
+                if m.group(5) and not script and ends[">"] > i:  # a tag over several lines
+                    inside_ = ">"
                 if name in ("script", "style"):
                     script = not m.group(1)
                     inside_ = f"</{name}" if script else ""
@@ -286,9 +322,10 @@ def page_lines(text: str | None) -> list[Line]:
                         boxes.append([0.0, 0.0, 0.0, 0.0, open_[-1]])
                         open_.append(len(boxes) - 1)
                         names.append(name)
-                    elif len(open_) > 1:
+                    elif name in names[1:]:  # an end tag closes what it names and what is open in it; one without a start closes nothing
+                        while names.pop() != name:
+                            where[i] = open_.pop()
                         where[i] = open_.pop()
-                        names.pop()
             rest = s[at:]
             if not script and "<!--" in rest and ends["-->"] > i:
                 rest, inside_ = rest[:rest.index("<!--")], "-->"
@@ -317,15 +354,16 @@ def page_lines(text: str | None) -> list[Line]:
         low, is_page, wordss[i] = _look(v)
         lows[i] = low
         c = float(len(v))
-        lc = c if is_page else float(lc)
-        leaf[i] = (c, max(tags, 1), lc, float(links + is_page))
+        mass = _mass(v, low, is_page, repeated)
+        lc = max(mass * c, float(lc))
+        leaf[i] = (c, max(tags, 1), lc, links + mass)
         b = where[i]
         while b >= 0:
             box = boxes[b]
             box[0] += c
             box[1] += max(tags, 1)
             box[2] += lc
-            box[3] += links + is_page
+            box[3] += links + mass
             b = int(box[4])
     body_c, body_lc = boxes[0][0], boxes[0][2]
     if not html:
@@ -338,9 +376,10 @@ def page_lines(text: str | None) -> list[Line]:
     for k in range(1, len(boxes)):
         sums[int(boxes[k][4])] += ctd[k]
     main = max(range(len(boxes)), key=sums.__getitem__)
-    path, k = ctd[main], main
+    bare = [relative_density(*b[:4], body_c, body_lc) for b in boxes]
+    path, share, k = ctd[main], bare[main], main
     while k >= 0:
-        path = min(path, ctd[k])
+        path, share = min(path, ctd[k]), min(share, bare[k])
         k = int(boxes[k][4])
     inside = {main, 0}
     for k in range(1, len(boxes)):
@@ -348,9 +387,8 @@ def page_lines(text: str | None) -> list[Line]:
             inside.add(k)
     for i in range(n):
         if show[i] and not page[i]:
-            c, _, lc, _ = leaf[i]
             out = html and where[i] not in inside and (ctd[where[i]] < path or boxes[where[i]][0] < 0.2 * body_c and prose_share(lows[i].split()) < 0.15)
-            page[i] = lc >= 0.5 * c or out
+            page[i] = out or leaf[i][2] > 0 and relative_density(*leaf[i], body_c, body_lc) * bare[where[i]] < 0.5 * share
     _sides(show, lows, page)
     return _kinds(show, lows, wordss, page)
 

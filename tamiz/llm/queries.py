@@ -47,11 +47,11 @@ def p2_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return density.page_parts(_tasks(spark, sf))
+    return density.page_parts(_tasks(spark, sf, "pid"))
 
 
 def p3_main(spark: SparkSession, sf: str) -> DataFrame:
-    return density.main_content(_tasks(spark, sf))
+    return density.main_content(_tasks(spark, sf, "pid"))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

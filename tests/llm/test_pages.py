@@ -1,6 +1,6 @@
 import random
 
-from tamiz.llm import common, density, language, quality, truncation
+from tamiz.llm import common, density, language, pages, quality, truncation
 from tamiz.llm.pages import density as ctd
 from tamiz.llm.pages import page_lines
 
@@ -81,6 +81,39 @@ def test_operators_with_odd_rows(spark):
     assert density.page_parts(d.limit(0)).count() == 0 == density.main_content(d.limit(0)).count()
 
 
+def site_pages(n=40):
+    """Pages of two sites, whose labels and notices no list knows, around articles with headings and a consent that recur too."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abdefilmnoprstu") for _ in range(8))
+    frames = [[f"{word().capitalize()} {word()}" for _ in range(6)] + [f"{word().capitalize()} {word()} {word()} © {word()}"] for _ in range(2)]
+    rows, want = [], set()
+    for i in range(n):
+        f = frames[i % 2]
+        own = [f"Un caso {word()} de {word()}", "Introducción", f"{PROSE[i % 3]} {word()}.", f"{PROSE[(i + 1) % 3]} {word()}.", "Discusión", f"{word()}\t1,{i % 9}\tU/L", f"{PROSE[(i + 2) % 3]} {word()}.", PROSE[0]]
+        lines = [*f[:4], "", *own, "", *f[4:6], f"Leído por {i} personas", f[6]]
+        rows.append((i, f"S{1111 * (1 + i % 2)}-11112001{i:09d}", "\n".join(lines)))
+        want |= {(i, k) for k in (1, 2, 3, 4, 15, 16, 17, 18)}
+    return rows, want
+
+
+def test_density_decides_without_lists(spark, monkeypatch):
+    rows, want = site_pages()
+    d = spark.createDataFrame(rows, "task_id bigint, pid string, text string")
+    found = lambda: {(r.task_id, r.line_no) for r in density.page_parts(d).collect()}
+    assert found() == want
+    monkeypatch.setattr(density, "MOST_LINES", 0)  # the way without sending the lines to all tasks
+    assert found() == want
+    monkeypatch.undo()
+    monkeypatch.setattr(pages, "density", lambda *_: 1.0)  # densities that are all the same decide nothing
+    assert not found()
+
+
+def test_tree():
+    html = "\n".join(["<div id=m>", "<section>", *(f"<p>{p}</p>" for p in PROSE), "</nav>", "</section>", "<div", ' class="x"', ">Otro pie</div>", "</div>"])
+    assert [x.text for x in page_lines(html) if x.kind == "prose"] == PROSE  # a closing tag without its start closes nothing; attributes are no text
+    assert not any("class" in x.text for x in page_lines(html))
+
+
 TABLE = "\n".join(f"creatinina\t{i},4\tU/L" for i in range(30))
 LIST = "\n".join(f"- paclitaxel {i} mg" for i in range(30))
 JUNK = "\n".join("vn|: !rt ;:. ^jl ~w" + "|:;" * (i % 5) for i in range(20))
