@@ -13,17 +13,18 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import lexicon as X
-from .common import scan, unit
+from .common import cut, scan, unit
 from .pages import page_lines
 from .quality import shares
 
 SAMPLE = 1_200  # texts
 PROFILE = 500
 _LINES = 2_000  # lines ranked at once, whatever the length of a text
+UNKNOWN = "und"
 LEAST_LINES = 12  # labelled lines without which a language has no profile
 _WORD = re.compile(r"[^\W\d_]+")
 _SETS = {lang: frozenset(ws.split()) for lang, ws in X.FUNCTION_WORDS.items()}
@@ -53,9 +54,9 @@ def prose(text: str) -> list[tuple[int, list[str], int, bool]]:
     return [(x.no, x.text.lower().split(), x.text.count(" ") + 1, x.text[-1] not in ".!?:") for x in lines if x.kind == "prose"]
 
 
-def train(texts: list[str]) -> dict[str, list[str]]:
-    """Language profiles, most frequent n-gram first, from labelled lines of the texts."""
-    counts: dict[str, Counter] = {}
+def labelled(texts) -> tuple[Counter, Counter]:
+    """Counts of (language, n-gram) and of lines of the texts' lines that have a clear language."""
+    counts: Counter = Counter()
     lines: Counter = Counter()
     for t in texts:
         for _, raw, n, _ in prose(t):
@@ -63,10 +64,17 @@ def train(texts: list[str]) -> dict[str, list[str]]:
             lang = by_function_words(words) if n >= 8 else None
             if lang:
                 lines[lang] += 1
-                c = counts.setdefault(lang, Counter())
-                for w in words:
-                    c.update(grams(w))
-    return {k: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:PROFILE]] for k, c in sorted(counts.items()) if lines[k] >= LEAST_LINES}
+                counts.update((lang, g) for w in words for g in grams(w))
+    return counts, lines
+
+
+def profiles_of(counts: dict[tuple[str, str], int], lines: dict[str, int]) -> dict[str, list[str]]:
+    """Language profiles, most frequent n-gram first, of the languages with at least LEAST_LINES lines."""
+    out: dict[str, list[str]] = {}
+    for (lang, g), _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
+        if lines[lang] >= LEAST_LINES and len(out.setdefault(lang, [])) < PROFILE:
+            out[lang].append(g)
+    return dict(sorted(out.items()))
 
 
 class _Ids(dict):
@@ -153,25 +161,34 @@ def judge(numbered: list[tuple[int, list[str], int, bool]], dist: np.ndarray, la
 def fit(df: DataFrame, key: str = "task_id", text: str = "text", sample: int = SAMPLE) -> dict[str, list[str]]:
     """Profiles from about ``sample`` texts, those whose keys have the least hashes: a bounded sample, the same at each run.
 
-    The hashes' bound follows from the number of rows, so each task sends its own few texts; never more than twice ``sample`` are taken.
+    The hashes' bound follows from the number of rows. Texts are read where they are; only PROFILE n-grams of each language are sent.
     """
     share = sample / max(df.count(), 1)
-    rows = df.where((unit(F.col(key), 7) < share) & (F.length(F.trim(text)) > 0)).select(text).limit(2 * sample).collect()
-    return train([r[0] for r in rows])
+    rows = df.where((unit(F.col(key), 7) < share) & (F.length(F.trim(text)) > 0)).select(text)
+
+    def count(it):
+        counts, lines = labelled(t for (t,) in it)
+        yield from ((lang, g, n) for (lang, g), n in counts.items())
+        yield from ((lang, None, n) for lang, n in lines.items())
+
+    total = cut(scan(rows, "lang string, gram string, n bigint", count).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    lines = {r.lang: r.n for r in total.where("gram is null").collect()}
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))  # n-grams of the sample's words
+    top = total.where("gram is not null").withColumn("r", rank).where(F.col("r") <= PROFILE).collect()
+    return profiles_of({(r.lang, r.gram): r.n for r in top}, lines)
 
 
 def languages(df: DataFrame, profiles: dict[str, list[str]], key: str = "task_id", keep: tuple[str, ...] = ("pid",), text: str = "text", margin: float = 0.01, least: int = 8) -> DataFrame:
-    """(key, keep..., lang, confidence, foreign) of each text with prose; foreign holds (line_no, lang, confidence) of its foreign lines.
+    """(key, keep..., lang, confidence, foreign) of each text; foreign holds (line_no, lang, confidence) of its foreign lines.
 
-    Null and blank texts, texts that are not prose and texts without any profile give no row.
+    Texts that are not prose, and all texts if there is no profile, have the language UNKNOWN with confidence 0. Null and blank texts
+    give no row.
     """
     kind = df.schema[key].dataType.simpleString()
     kept = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in keep)
 
     def rows(it):
         p = Profiles(profiles)
-        if not p.langs:
-            return
         held: list = []
         n = 0
 
@@ -185,8 +202,10 @@ def languages(df: DataFrame, profiles: dict[str, list[str]], key: str = "task_id
             held.clear()
 
         for *row, t in it:
-            lines = prose(t)
-            if lines:
+            lines = prose(t) if p.langs else []
+            if not lines:
+                yield (*row, UNKNOWN, 0.0, [])
+            else:
                 held.append((row, lines))
                 n += len(lines)
                 if n > 1_500:
@@ -209,7 +228,7 @@ def wrong_labels(spoken: DataFrame, candidates: DataFrame, triage: DataFrame, ke
 
     Labels of a pid that differ are wrong if one is. Pids without candidate or without an answered triage row are not judged.
     """
-    s = spoken.select(key, "lang", "pid", F.size("foreign").alias("n"), "foreign")
+    s = spoken.where(F.col("lang") != UNKNOWN).select(key, "lang", "pid", F.size("foreign").alias("n"), "foreign")
     lines = s.select(F.lit("segmento").alias("campo"), key, F.explode("foreign.line_no").alias("line_no"))
     labels = candidates.where(F.col("pid").isNotNull()).select("pid", F.coalesce(label_code(F.col("idioma")), F.lit("?")).alias("code")).distinct()
     texts = s.where(F.col("pid").isNotNull()).select(key, "pid", "lang", F.when(F.col("n") > 0, "mixto").otherwise(F.col("lang")).alias("body"))

@@ -7,6 +7,7 @@
    the term's place in the item; where all anchors of a window meet at one shift, the document may hold the window.
 4. Those documents' words are compared at that shift, whole runs at a time: exact phrase matches of at least ``run`` words.
 A hot word is no hot group: postings meet by (document, item, shift).
+5. ``proximity`` counts the same anchors within a few words of their places: passages with words changed or put in.
 """
 
 from __future__ import annotations
@@ -93,6 +94,19 @@ def longest_run(a: list[str], b: list[str], shift: int) -> tuple[int, int]:
     return best, start
 
 
+def _postings(corpus: DataFrame, tests: dict[int, list[str]], key: str, text: str, run: int, anchors: int) -> tuple[DataFrame, dict[int, list[tuple[int, ...]]], DataFrame | None]:
+    """(postings, anchor places of each item's windows, postings shifted by the anchors' places as (doc, item, j, p))."""
+    words = vocabulary(tests, run, anchors)
+    postings = cut(index(corpus, words, key, text))
+    df = {r.term: r.n for r in postings.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most the vocabulary
+    sets = windows(tests, words, df, run, anchors)
+    if not sets:
+        return postings, sets, None
+    places = sorted({(words[tests[k][j]], k, j) for k, s in sets.items() for x in s for j in x})
+    wanted = corpus.sparkSession.createDataFrame([Row(term=t, item=k, j=j) for t, k, j in places], "term int, item bigint, j int")  # bounded by the items
+    return postings, sets, postings.join(F.broadcast(wanted), "term").select("doc", "item", "j", F.explode("at").alias("p"))
+
+
 def leaks(corpus: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, anchors: int = ANCHORS) -> DataFrame:
     """(key, item_id, words, item_start) of each document and item that share at least ``run`` consecutive words: their longest run.
 
@@ -102,17 +116,11 @@ def leaks(corpus: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     spark = corpus.sparkSession
     out = f"{key} {kind}, item_id bigint, words int, item_start int"
     tests = item_terms(items)
-    words = vocabulary(tests, run, anchors)
-    postings = cut(index(corpus, words, key, text))
-    df = {r.term: r.n for r in postings.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most the vocabulary
-    sets = windows(tests, words, df, run, anchors)
-    if not sets:
+    _, sets, placed = _postings(corpus, tests, key, text, run, anchors)
+    if placed is None:
         return spark.createDataFrame([], out)
-    places = sorted({(words[tests[k][j]], k, j) for k, s in sets.items() for x in s for j in x})
-    wanted = spark.createDataFrame([Row(term=t, item=k, j=j) for t, k, j in places], "term int, item bigint, j int")  # bounded by the items
     shifted = (
-        postings.join(F.broadcast(wanted), "term").select("doc", "item", "j", F.explode("at").alias("p"))
-        .groupBy("doc", "item", (F.col("p") - F.col("j")).alias("shift")).agg(F.collect_set("j").alias("js"))
+        placed.groupBy("doc", "item", (F.col("p") - F.col("j")).alias("shift")).agg(F.collect_set("j").alias("js"))
         .where(F.size("js") >= min(anchors, min(len(x) for s in sets.values() for x in s)))
     )
 
@@ -140,6 +148,28 @@ def leaks(corpus: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     return scan(both.select("doc", text, "s"), out, confirm).groupBy(key, "item_id").agg(F.max("words").alias("words"), F.min("item_start").alias("item_start"))
 
 
+def proximity(corpus: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, anchors: int = 4, slack: int = 8, least: int = 5, most: int = 12) -> DataFrame:
+    """(key, item_id, terms, span) of documents that hold an item's rare terms near where the item has them: proximity matches.
+
+    Of the item's anchor terms, the rarest of its windows, half, but at least ``least`` and no more than ``most``, have to stand in one
+    stretch of the document, each at most ``slack`` words before or after its place in the item, so words may have been put in, left out
+    or changed between them. ``terms`` counts them, ``span`` is how many words of the item they cover. It needs the postings alone; no text is read again.
+    """
+    kind = corpus.schema[key].dataType.simpleString()
+    out = f"{key} {kind}, item_id bigint, terms int, span int"
+    _, sets, placed = _postings(corpus, item_terms(items), key, text, run, anchors)
+    if placed is None:
+        return corpus.sparkSession.createDataFrame([], out)
+    half = [(k, min(max(least, (len({j for x in s for j in x}) + 1) // 2), most)) for k, s in sets.items()]
+    need = corpus.sparkSession.createDataFrame(half, "item bigint, need int")  # a row for each item
+    shift = F.col("p") - F.col("j")
+    # two grids, half a cell apart: shifts that differ by no more than slack share a cell of one of them
+    cells = placed.withColumn("cell", F.explode(F.array(F.floor(shift / (2 * slack)) * 2, F.floor((shift + slack) / (2 * slack)) * 2 + 1)))
+    met = cells.groupBy("doc", "item", "cell").agg(F.count_distinct("j").alias("terms"), (F.max("j") - F.min("j") + 1).alias("span"))
+    met = met.where(F.col("terms") >= least).join(F.broadcast(need), "item").where(F.col("terms") >= F.col("need"))
+    return met.groupBy(F.col("doc").alias(key), F.col("item").alias("item_id")).agg(F.max("terms").cast("int").alias("terms"), F.max_by("span", "terms").cast("int").alias("span"))
+
+
 def item_report(found: DataFrame) -> DataFrame:
     """(item_id, documents, longest) of each leaked item."""
     return found.groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.max("words").alias("longest"))

@@ -107,6 +107,10 @@ def p8_items(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.item_report(leakage.leaks(_documents(spark, sf), table(spark, sf, "eval_items")))
 
 
+def p8_near(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.proximity(_documents(spark, sf), table(spark, sf, "eval_items"))
+
+
 def _tokenizer(spark: SparkSession) -> str:
     """The vocabulary file of a public tokenizer, on a path that every executor has; spark.tamiz.tokenizer names another one."""
     return spark.conf.get("spark.tamiz.tokenizer", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -149,7 +153,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             p1_found, p1_clean, p2_found, p2_sample, p2_report, p3_found, p3_main, p4_found, p4_statistics, p4_scores, p5_found, p5_sources,
-            p6_found, p6_restored, p7_found, p7_languages, p8_found, p8_items, p9_found, p9_mix, p9_report, p9_shares, p10_found, p10_scores,
+            p6_found, p6_restored, p7_found, p7_languages, p8_found, p8_items, p8_near, p9_found, p9_mix, p9_report, p9_shares, p10_found, p10_scores,
         )
     }
 

@@ -43,6 +43,22 @@ def test_round_trip(spark):
     assert encoding.garbled(d.limit(0)).count() == 0 == encoding.restored(d.limit(0)).count()
 
 
+def test_lost_letters(spark):
+    clean = [(f"c{i}", TEXT + " La ecografía de la región inguinal; después, día y también.") for i in range(6)]
+    two = "ecograf�a y regi�n, evoluci�n cl�nica"
+    three = "L� evoluci�n cl�nica despu�s de tres d�as, tambi�n «�rgano»"
+    back = {r.clave: r.restored for r in encoding.restored(frame(spark, clean + [("two", two), ("three", three.replace("L�", "La")), ("one", "tumoraci�n qu�stica")])).collect()}
+    assert back == {"two": "ecografía y región, evolución clínica", "three": "La evolución clínica después de tres días, también «órgano»", "one": "tumoración quística"}
+    assert encoding.viterbi(["a", "áé", "b"], {"^a": -1.0, "aá": -2.0, "áb": -3.0}, -9.0) == (6.0, "aáb") and encoding.fitting("aéb", ["A", "áéÁÉ", "b"], {}, -1.0) == (3.0, "Aéb")
+
+
+def test_search_decides(spark, monkeypatch):
+    d = frame(spark, [(f"c{i}", TEXT) for i in range(6)] + [("b", garble(TEXT, WAYS[0])), ("lost", garble(TEXT, "lost"))])
+    assert {r.clave for r in encoding.garbled(d).collect()} == {"b", "lost"}
+    monkeypatch.setattr(encoding, "_clearer", lambda *_: 0.0)  # no reading is better spelt
+    assert encoding.garbled(d).count() == 0
+
+
 def test_one_word(spark):
     d = frame(spark, [(f"c{i}", TEXT) for i in range(5)] + [("one", "el riÃ±Ã³n izquierdo " + "palabra " * 50_000), ("lost", "el ri��n")])
     assert {r.clave: r.restored[:8] for r in encoding.restored(d).collect()}["one"] == "el riñón"
@@ -89,6 +105,21 @@ def test_leaks_equal_brute_force(spark):
     assert report == {k: sum(b == k for _, b in got) for k in {b for _, b in got}}
 
 
+def test_proximity(spark):
+    r = random.Random(12)
+    vocab = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(r.sample(vocab, 30))) for i in range(12)]
+    docs = [(i, " ".join(r.choice(vocab) for _ in range(80))) for i in range(60)]
+    changed = lambda t: " ".join(x if i % 5 else "otro" for i, x in enumerate(t.split()))  # noqa: E731  a word changed every few words
+    grown = lambda t: " ".join(f"{x} nuevo" if i % 7 == 3 else x for i, x in enumerate(t.split()))
+    docs += [(100 + i, "uno dos " + changed(t)) for i, t in items] + [(200 + i, grown(t) + " fin") for i, t in items] + [(300, None), (301, "")]
+    d, e = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, texto string")
+    assert leakage.leaks(d, e).count() == 0
+    got = {(x.doc_id, x.item_id) for x in leakage.proximity(d, e).collect()}
+    assert {(100 + i, i) for i, _ in items} | {(200 + i, i) for i, _ in items} <= got and len(got) <= 27
+    assert leakage.proximity(d.limit(0), e).count() == 0 == leakage.proximity(d, e.limit(0)).count()
+
+
 PROSE = "La paciente de {} años acudió por dolor en el abdomen y fue tratada con {} ciclos de quimioterapia, según el informe del hospital. En el control no se encontraron signos de recidiva, y la evolución fue buena hasta los {} meses. "
 SPAM = [
     "seguro médico barato, seguro médico precio, oncólogo barato, oncólogo precio, seguro médico online, oncólogo online, " * 12,
