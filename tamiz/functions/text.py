@@ -29,6 +29,36 @@ def fold_pairs() -> tuple[str, str]:
 FOLD_FROM, FOLD_TO = fold_pairs()
 
 
+def composed() -> tuple[list[tuple[str, str]], str, str]:
+    """Pairs of letter and mark with the one letter they compose to, and single characters with their canonical form; made by rule."""
+    pairs, a, b = [], [], []
+    for c in range(0xA0, 0x2200):
+        d = unicodedata.normalize("NFC", chr(c))
+        if d != chr(c) and len(d) == 1:
+            a.append(chr(c))
+            b.append(d)
+        parts = unicodedata.decomposition(chr(c)).split()
+        if d == chr(c) and len(parts) == 2 and not parts[0].startswith("<"):
+            pair = "".join(chr(int(x, 16)) for x in parts)
+            if unicodedata.normalize("NFC", pair) == chr(c):
+                pairs.append((pair, chr(c)))
+    pairs.sort(key=lambda x: len(unicodedata.normalize("NFD", x[1])))  # a letter with two marks takes the first one first
+    return pairs, "".join(a), "".join(b)
+
+
+COMPOSED, CANON_FROM, CANON_TO = composed()
+
+
+def compose(x: Column) -> Column:
+    """Unicode NFC of letters below U+2200, as an expression: marks after their letter are composed with it; only texts with marks cost.
+
+    Marks that stand in another than their canonical order stay so; ``udfs.nfc`` is exact for all of Unicode.
+    """
+    pairs = F.array(*(F.struct(F.lit(p).alias("p"), F.lit(c).alias("c")) for p, c in COMPOSED))
+    joined = F.aggregate(pairs, x, lambda t, y: F.replace(t, y.p, y.c))
+    return F.when(x.rlike(rf"[\p{{Mn}}{CANON_FROM}]"), F.translate(joined, CANON_FROM, CANON_TO)).otherwise(x)
+
+
 def let(value: Column, f) -> Column:
     """f of a column that is computed once a row, however often f names it; conditional branches would compute it again each."""
     return F.transform(F.array(value), f)[0]

@@ -5,7 +5,7 @@ All columns of a text come from one projection: no shuffle, no UDF. Lines keep t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
@@ -149,8 +149,18 @@ def cards(cat: DataFrame, key: str = "pid", lead: int = 3) -> DataFrame:
     numbered = cat.repartitionByRange(key).sortWithinPartitions(key, "title").withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id())
     numbered = cut(numbered)  # the numbers of partitions and rows must come from one run
     sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("c"), F.min("row").alias("first"))  # one row a partition
-    a, b = sizes.alias("a"), sizes.alias("b")
-    offset = a.join(b, F.col("b.part") < F.col("a.part"), "left").groupBy(F.col("a.part").alias("part"), F.col("a.first").alias("first")).agg(F.coalesce(F.sum("b.c"), F.lit(0)).alias("before"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as partitions
+    offset = sizes.select("part", "first", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("before"))
     n = (F.col("before") + F.col("row") - F.col("first") + 1).cast("bigint")
     card = F.concat_ws("\n", F.format_string("[%03d] %s", n, F.col(key)), F.concat(F.lit("TIPO: "), "final_type"), F.concat(F.lit("TITULO: "), F.coalesce("title", F.lit("-"))), F.concat(F.lit("ESTRUCTURA: "), F.array_join("structure", " › ")))
     return numbered.join(F.broadcast(offset), "part").select(n.alias("n"), card.alias("card"))
+
+
+def report(cat: DataFrame, key: str = "pid") -> DataFrame:
+    """(part, n, text) of the printed catalogue, by part and n: 1 the counts by type, 2 those by year, in order of the year, 3 the cards."""
+    _, year = pid_parts(F.col(key))
+    by = lambda part, c: cat.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("c")).select(F.lit(part).alias("part"), "v", "c")
+    head = by(1, F.col("final_type")).unionByName(by(2, year))
+    order = F.row_number().over(Window.partitionBy("part").orderBy(F.when(F.col("part") == 1, -F.col("c")), "v"))  # types and years are few
+    head = head.select("part", order.cast("bigint").alias("n"), F.format_string("%s: %d", "v", "c").alias("text"))
+    return head.unionByName(cards(cat, key).select(F.lit(3).alias("part"), "n", F.col("card").alias("text")))

@@ -1,6 +1,6 @@
 """Rule-based trimming of a raw text to its narrative: line cleanup, boundaries by headings, inner cleanup, and cuts by fragments.
 
-Everything is one projection of JVM expressions; the only UDF is NFC normalisation, which Spark lacks, and it can be left out.
+Everything is one projection of JVM expressions.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
-from ..functions.text import WS, flexible_find, fold, let, split_lines, strip, word_count
+from ..functions.text import WS, compose, flexible_find, fold, let, split_lines, strip, word_count
 
 
 def site_noise(line: Column) -> Column:
@@ -61,7 +61,7 @@ def squeeze(x: Column) -> Column:
 
 
 def inner_cleanup(x: Column) -> Column:
-    x = F.regexp_replace(x, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
+    x = F.regexp_replace(compose(x), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
     return squeeze(strip_citations(strip_urls(x)))
 
 
@@ -124,3 +124,26 @@ def apply_cut(text: Column, head: Column, tail: Column, least_words: int = 150)
     b = flexible_find(text, tail)
     end = F.when(b > start, b).otherwise(F.length(text))
     return safeguarded(text, strip(F.substring(text, start + 1, end - start)), least_words)
+
+
+CUT = "inicio_basura boolean, frag_inicio_contenido string, fin_basura boolean, frag_inicio_basura_final string, tipo_basura string"
+
+
+def apply_answer(text: Column, answer: Column, least_words: int = 150) -> Column:
+    """A struct (text, at_start, at_end, kept) of a model's cut answer (a struct of CUT) applied to a text.
+
+    A null answer leaves the text as it is, not stripped. A fragment counts only if its flag is true and it is found, the first one after
+    the text's begin, the second after the first. ``kept`` tells that the safeguard kept the whole text.
+    """
+    at = lambda on, f: F.when(F.coalesce(on, F.lit(False)), flexible_find(text, strip(f))).otherwise(-1)
+
+    def sliced(a: Column, b: Column) -> Column:
+        start = F.when(a > 0, a).otherwise(0)
+        end = F.when(b > start, b).otherwise(F.length(text))
+        cut = strip(F.substring(text, start + 1, end - start))
+        poor = (word_count(cut) < least_words) | (F.length(cut) < 0.3 * F.length(text))
+        whole = F.struct(text.alias("text"), F.lit(False).alias("at_start"), F.lit(False).alias("at_end"), F.lit(False).alias("kept"))
+        done = F.struct(F.when(poor, strip(text)).otherwise(cut).alias("text"), (a > 0).alias("at_start"), (b > start).alias("at_end"), poor.alias("kept"))
+        return F.when(answer.isNull(), whole).otherwise(done)
+
+    return let(at(answer.inicio_basura, answer.frag_inicio_contenido), lambda a: let(at(answer.fin_basura, answer.frag_inicio_basura_final), lambda b: sliced(a, b)))

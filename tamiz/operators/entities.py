@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
@@ -19,14 +19,17 @@ def mention_offsets(df: DataFrame, key: str = "task_id", text: str = "text", ent
     """(key, ord, start, end, mention, label): the r-th mention of the same words takes the r-th occurrence in the text, cyclically.
 
     Places count code points, the end is exclusive. Mentions that do not occur are left out. ``dedupe`` drops repeated spans.
-    The text stays on its mention's row, so there is no join; ranks are taken within a text and its mention.
+    Ranks are taken within the row's own array, so nothing is shuffled.
     """
-    d = valid_mentions(df, key, text, entities, labels)
-    parts = F.split("text", quote(F.col("mention")), -1)
-    d = d.withColumn("cuts", F.transform(parts, lambda p: F.length(p))).drop("text").where(F.size("cuts") > 1)
-    r = F.row_number().over(Window.partitionBy(key, "mention").orderBy("ord"))
-    j = (r - 1) % (F.size("cuts") - 1)
-    d = d.withColumn("j", j)
+    said = F.transform(entities, lambda e, i: F.struct(i.alias("ord"), strip(e.texto).alias("mention"), F.upper(strip(e.categoria)).alias("label")))
+    d = df.select(key, unix_lines(F.col(text)).alias("_t"), F.filter(said, lambda x: (x.mention != "") & x.label.isin(*labels)).alias("_m"))
+
+    def place(x: Column, i: Column) -> Column:
+        cuts = F.transform(F.split("_t", quote(x.mention), -1), lambda p: F.length(p))
+        same = F.size(F.filter(F.slice("_m", F.lit(1), i), lambda y: y.mention == x.mention))
+        return F.struct(x.ord.alias("ord"), x.mention.alias("mention"), x.label.alias("label"), cuts.alias("cuts"), same.alias("before"))
+
+    d = d.select(key, F.inline(F.transform("_m", place))).where(F.size("cuts") > 1).withColumn("j", F.col("before") % (F.size("cuts") - 1))
     start = F.aggregate(F.slice("cuts", F.lit(1), F.col("j") + 1), F.lit(0), lambda a, x: a + x) + F.col("j") * F.length("mention")
     out = d.select(key, "ord", start.cast("int").alias("start"), (start + F.length("mention")).cast("int").alias("end"), "mention", "label")
     return out.dropDuplicates([key, "start", "end", "label"]) if dedupe else out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,18 +41,35 @@ def lookup(df: DataFrame, dim: DataFrame, on: str, value: str, default: str) ->
 def upper_median(df: DataFrame, value: str) -> DataFrame:
     """(n, least, upper_median, most, total) of a column's values, the upper one of two middle values being the median; nulls left out.
 
-    Values are counted first; the median is the first value whose running count exceeds half, found by partition of ranges.
+    An aggregate over counts of values with map-side combine; no sort of all values.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    all_ = counts.agg(F.sum("c").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.sum(F.col("c") * F.col("v")).alias("total"))
-    running = counts.withColumn("run", F.sum("c").over(Window.orderBy("v")))  # different values only: whole numbers of words in a text
-    return (
-        running.join(F.broadcast(all_)).where(F.col("run") > F.expr("n div 2")).groupBy("n", "least", "most", "total").agg(F.min("v").alias("upper_median"))
-        .select("n", "least", "upper_median", "most", "total")
-    )
+    median = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}` DESC)")  # from above, the upper of two middle values comes first
+    return df.where(F.col(value).isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), F.min(value).alias("least"), median.cast(df.schema[value].dataType).alias("upper_median"), F.max(value).alias("most"), F.sum(value).alias("total")
+    ).where("n > 0")
 
 
 def split_counts(df: DataFrame, column: str, sep: str = ";") -> DataFrame:
     """(value, count) of the trimmed, non-empty parts of a column."""
     part = F.trim(F.col("p"))
     return df.select(F.explode(F.split(column, sep)).alias("p")).select(part.alias("value")).where("value <> ''").groupBy("value").agg(F.count(F.lit(1)).alias("count"))
+
+
+def first_pending(all_: DataFrame, done: DataFrame, key: str, most: int) -> DataFrame:
+    """Of the first ``most`` rows by key those that are not done: the limit counts before the anti join, so a rerun does not move on."""
+    return pending(all_.orderBy(key).limit(most), done, key)
+
+
+def observed(df: DataFrame, name: str, flagged: Column) -> tuple[DataFrame, object]:
+    """(df, observation): ``observation.get`` has the rows and the flagged ones after the first action on df, without a pass of its own."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(flagged).alias("flagged")), seen
+
+
+def capped(df: DataFrame, column: str, most: int) -> DataFrame:
+    """(n, shown, more): how many values a column has, the first ``most`` of them in order for printing, and how many are not shown."""
+    first = df.where(F.col(column).isNotNull()).select(column).orderBy(column).limit(most).agg(F.array_sort(F.collect_list(column)).alias("shown"))
+    n = df.agg(F.count(column).alias("n"))
+    return n.join(F.broadcast(first)).select("n", "shown", (F.col("n") - F.size("shown")).alias("more"))  # one row each

@@ -51,3 +51,18 @@ def prompt(text: Column, template: str, most: int = 60_000) -> Column:
     """A request: the template with a text's first ``most`` characters in place of ``{text}``; null for a null text."""
     before, _, after = template.partition("{text}")
     return F.concat(F.lit(before), F.substring(text, 1, most), F.lit(after))
+
+
+def review(answer: Column) -> Column:
+    """A struct (flagged, motivos): what a triage answer (a struct of ANSWER) gives reason to look at; a null answer is flagged.
+
+    A confidence that is no number gives no reason.
+    """
+    crop = F.coalesce(answer.getField("calidad_recorte"), F.lit(""))
+    why = reasons([
+        (answer.getField("es_caso_oncologico") == F.lit(False), "no_es_caso_oncologico"), (answer.getField("es_paciente_humano") == F.lit(False), "no_humano"),
+        (answer.getField("idioma_cuerpo").isin("en", "mixto"), F.concat(F.lit("idioma_"), answer.getField("idioma_cuerpo"))), (answer.getField("tiene_narrativa_paciente") == F.lit(False), "sin_narrativa_paciente"),
+        (~crop.isin("limpio", ""), F.concat(F.lit("recorte_"), crop)), (answer.getField("confianza").try_cast("double") < 0.6, "baja_confianza"),
+    ])
+    lost = F.struct(F.lit(True).alias("flagged"), F.lit("sin_respuesta_del_modelo").alias("motivos"))
+    return F.when(answer.isNull(), lost).otherwise(F.struct((why != "").alias("flagged"), why.alias("motivos")))

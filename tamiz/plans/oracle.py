@@ -72,7 +72,7 @@ def _squeeze(x: str) -> str:
 
 
 def _inner(x: str) -> str:
-    return _squeeze(_citations(_urls(f"regexp_replace({x}, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g')")))
+    return _squeeze(_citations(_urls(f"regexp_replace(nfc_normalize({x}), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g')")))
 
 
 _LAST = """last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY cosechado_en DESC, titulo DESC NULLS LAST) AS r FROM candidatos) WHERE r = 1)"""
@@ -274,4 +274,48 @@ SELECT task_id, ord, (list_sum(cuts[1:j + 1]) + j * length(mention))::INT AS sta
         "incremental_append": "SELECT DISTINCT pid FROM candidatos",
         "llm_retry": """SELECT DISTINCT pid, CASE WHEN pid LIKE '%7' THEN NULL ELSE 'ok ' || pid END AS response, CASE WHEN pid LIKE '%7' THEN 'HTTP 403' ELSE '' END AS error,
   CASE WHEN pid LIKE '%7' THEN 1 ELSE 2 END AS tries FROM candidatos WHERE pid IS NOT NULL""",
+        "fetch_statuses": """WITH c AS (SELECT pid, min(html_url) AS url FROM candidatos WHERE coalesce(pid, '') <> '' GROUP BY pid),
+h AS (SELECT pid, max(chars) AS chars FROM fetch_log WHERE chars > 0 AND pid IS NOT NULL GROUP BY pid),
+f AS (SELECT pid, h.chars AS had, CASE WHEN h.pid IS NOT NULL THEN 'ya_existia' WHEN right(pid, 1) IN ('0', '2', '4', '6', '8') THEN 'articlemeta_body'
+  WHEN coalesce(url, '') = '' OR right(url, 1) = '3' THEN 'sin_texto' WHEN right(url, 1) = '1' THEN 'error_http:ConnectionError' ELSE 'parrafos' END AS fuente FROM c LEFT JOIN h USING (pid))
+SELECT pid, fuente, CASE fuente WHEN 'ya_existia' THEN had WHEN 'articlemeta_body' THEN 306 WHEN 'parrafos' THEN 610 ELSE 0 END::BIGINT AS chars FROM f""",
+        "chat_usage": """SELECT count(*) AS calls, count(*) FILTER (right(pid, 1) IN ('7', '9')) AS failed, """
+        + ", ".join(f"coalesce(sum({c}) FILTER (pid IS NULL OR right(pid, 1) <> '9'), 0)::BIGINT AS {c}" for c in ("prompt_tokens", "completion_tokens", "prompt_cache_hit_tokens", "prompt_cache_miss_tokens"))
+        + " FROM usage_log",
+        "cut_answer": f"""WITH w AS (SELECT task_id, text, list_filter(string_split_regex({strip("text")}, '{WS}+'), lambda x: x <> '')[21:24] AS w FROM preanot WHERE text IS NOT NULL),
+h AS (SELECT task_id, text, array_to_string(w, ' ') AS f, w, array_to_string(list_transform(w, lambda v: regexp_escape(v)), '{WS}+') AS p FROM w),
+a AS (SELECT *, CASE WHEN coalesce(length(f), 0) < 4 THEN 0 WHEN strpos(text, f) > 0 THEN strpos(text, f) - 1 WHEN len(w) >= 2 AND regexp_matches(text, p) THEN length(string_split_regex(text, p)[1]) ELSE 0 END AS st FROM h),
+b AS (SELECT *, CASE WHEN task_id % 2 = 0 AND strpos(text, 'Referencias') - 1 > st THEN strpos(text, 'Referencias') - 1 ELSE length(text) END AS en FROM a),
+c AS (SELECT *, {strip("substring(text, st + 1, en - st)")} AS cut FROM b), k AS (SELECT *, len(regexp_extract_all(cut, '{NWS}+')) < 150 OR length(cut) < 0.3 * length(text) AS poor FROM c)
+SELECT task_id, CASE WHEN task_id % 3 = 0 THEN text WHEN poor THEN {strip("text")} ELSE cut END AS texto, task_id % 3 <> 0 AND poor AS conservado FROM k""",
+        "decision_reasons": _CATALOGUE
+        + f""", en AS (SELECT task_id, {fold("left(text, 4000)")} AS h, text FROM preanot),
+dl AS (SELECT task_id, CASE WHEN regexp_matches({fold("title")}, '\\b({"|".join(D.ENGLISH_TITLE_WORDS)})\\b') AND NOT regexp_matches(coalesce(title, ''), '[áéíóúñ]') THEN 1
+  WHEN text IS NOT NULL AND ({heads}) >= 2 AND NOT contains(h, 'discusion') THEN 1 WHEN NOT list_has_any(structure, ['Introducción', 'Caso clínico']) THEN 2 ELSE 3 END AS r FROM r JOIN en USING (task_id))
+SELECT task_id, ['DESCARTADO', 'REVISAR', 'SELECCIONADO'][r] AS decision, ['cuerpo en ingles (bilingue)', 'sin Introduccion/Caso clinico rotulado', ''][r] AS motivo FROM dl""",
+        "eligible_drops": f"""WITH l AS (SELECT pid, coalesce(arg_max(coalesce(relevancia, ''), (cosechado_en, coalesce(relevancia, ''))), '') AS relevancia FROM candidatos GROUP BY pid),
+x AS (SELECT coalesce(l.relevancia, 'alta') AS rel, len(regexp_extract_all(coalesce(text, ''), '{NWS}+')) AS n FROM preanot LEFT JOIN l USING (pid))
+SELECT CASE WHEN rel <> 'alta' THEN 'relevancia' WHEN n < 150 THEN 'palabras' ELSE '-' END AS motivo, count(*) AS n FROM x GROUP BY 1""",
+        "review_flags": _ANSWERS
+        + """, m AS (SELECT CASE WHEN NOT ok THEN 'sin_respuesta_del_modelo' ELSE concat_ws(';', CASE WHEN f1 = false THEN 'no_es_caso_oncologico' END, CASE WHEN f2 = false THEN 'no_humano' END,
+  CASE WHEN idioma_cuerpo IN ('en', 'mixto') THEN 'idioma_' || idioma_cuerpo END, CASE WHEN f3 = false THEN 'sin_narrativa_paciente' END,
+  CASE WHEN coalesce(calidad_recorte, '') NOT IN ('limpio', '') THEN 'recorte_' || calidad_recorte END, CASE WHEN try_cast(confianza AS DOUBLE) < 0.6 THEN 'baja_confianza' END) END AS motivos FROM a)
+SELECT motivos <> '' AS revisar, motivos, count(*) AS n FROM m GROUP BY ALL""",
+        "year_counts": "SELECT CASE WHEN regexp_full_match(substring(pid, 11, 4), '[0-9]+') THEN substring(pid, 11, 4) ELSE '?' END AS anio, count(*) AS n FROM candidatos GROUP BY 1",
+        "first_pending": """SELECT pid FROM (SELECT DISTINCT pid FROM preanot WHERE pid IS NOT NULL ORDER BY pid LIMIT 100)
+WHERE pid NOT IN (SELECT pid FROM qc_deepseek WHERE lower(trim(revisar)) = 'no' AND pid IS NOT NULL)""",
+        "missing_capped": """WITH p AS (SELECT DISTINCT pid FROM candidatos WHERE pid IS NOT NULL AND pid NOT IN (SELECT pid FROM fetch_log WHERE chars > 0 AND pid IS NOT NULL)),
+f AS (SELECT pid FROM p ORDER BY pid LIMIT 10)
+SELECT (SELECT count(*) FROM p) AS n, (SELECT string_agg(pid, ';' ORDER BY pid) FROM f) AS primeros, (SELECT count(*) FROM p) - (SELECT count(*) FROM f) AS more""",
+        "catalog_report": _CATALOGUE
+        + """, ft AS (SELECT task_id::VARCHAR AS pid, coalesce(type, CASE WHEN list_contains(structure, 'Caso clínico') THEN 'Reporte de caso (inferido)'
+  WHEN list_contains(structure, 'Materiales y métodos') AND list_contains(structure, 'Resultados') THEN 'Artículo original (inferido)'
+  WHEN NOT list_contains(structure, 'Resumen') AND coalesce(nlines, 0) <= 10 THEN 'Imagen / nota breve (inferido)' ELSE 'Indeterminado' END) AS tipo FROM r),
+v AS (SELECT 1 AS part, tipo AS v, count(*) AS c FROM ft GROUP BY tipo UNION ALL
+  SELECT 2, CASE WHEN regexp_full_match(substring(pid, 11, 4), '[0-9]+') THEN substring(pid, 11, 4) ELSE '?' END, count(*) FROM ft GROUP BY 2)
+SELECT part, row_number() OVER (PARTITION BY part ORDER BY CASE WHEN part = 1 THEN -c END, v) AS n, v || ': ' || c AS text FROM v""",
+        "json_rescue": """WITH e AS (SELECT task_id, to_json({'entidades': entidades})::VARCHAR AS j FROM preanot WHERE len(entidades) > 0), c AS (SELECT task_id, left(j, (length(j) * 6 // 10)::INT) AS j FROM e),
+p AS (SELECT task_id, regexp_extract_all(j, '\\{\\s*"texto"\\s*:\\s*"((?:[^"\\\\]|\\\\.)*)"\\s*,\\s*"categoria"\\s*:\\s*"((?:[^"\\\\]|\\\\.)*)"\\s*\\}', 1) AS a,
+  regexp_extract_all(j, '\\{\\s*"texto"\\s*:\\s*"((?:[^"\\\\]|\\\\.)*)"\\s*,\\s*"categoria"\\s*:\\s*"((?:[^"\\\\]|\\\\.)*)"\\s*\\}', 2) AS b FROM c)
+SELECT task_id, unnest(range(len(a)))::INT AS ord, unnest(a) AS texto, unnest(b) AS categoria FROM p""",
     }

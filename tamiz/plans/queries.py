@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from pathlib import Path
 
@@ -11,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.udfs import fold_exact, html_to_text, nfc
-from ..operators import calls, catalog, clean, entities, relational, relevance, responses, sampling
-from ..session import spread
+from ..operators import calls, catalog, chat, clean, entities, fetch, relational, relevance, responses, sampling
+from ..session import shared_folder, spread
 from ..streaming import incremental
 from . import pipeline
 from .oracle import oracle_sql
@@ -41,11 +40,8 @@ def _texts(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
 
 
 def _shared(spark: SparkSession) -> str:
-    """A new folder on the storage that all executors share; the machine's own only where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        return tempfile.mkdtemp(prefix="tamiz-")
-    return f"{base.rstrip('/')}/tamiz-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
+    """A new folder on the storage that all executors share."""
+    return f"{shared_folder(spark).rstrip('/')}/tamiz-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
 
 
 # --- titles ---
@@ -98,7 +94,7 @@ def dedup_last(spark, sf):
 
 @query
 def latest_by_pid(spark, sf):
-    return relational.dedup(_t(spark, sf, "preanot").drop("entidades"), "pid", [F.col("anotado_en"), F.col("task_id")], "last").select("pid", "task_id")
+    return relational.dedup(_t(spark, sf, "preanot").select("pid", "anotado_en", "task_id"), "pid", [F.col("anotado_en"), F.col("task_id")], "last").select("pid", "task_id")
 
 
 @query
@@ -460,8 +456,10 @@ def annotation_tasks(spark, sf):
 
 @query
 def html_text(spark, sf):
-    p = _t(spark, sf, "preanot").where(F.contains("text", F.lit("</")))
-    return p.select("task_id", html_to_text(F.col("text")).alias("r")).select("task_id", "r.fuente", "r.texto")
+    """Every text; those with markup as the text of their paragraphs."""
+    page = F.contains("text", F.lit("</"))
+    d = _texts(spark, sf, "task_id", "text").select("task_id", "text", page.alias("page"), html_to_text(F.when(page, F.col("text"))).alias("r"))
+    return d.select("task_id", F.when(F.col("page"), F.col("r.fuente")).otherwise("texto").alias("fuente"), F.when(F.col("page"), F.col("r.texto")).otherwise(F.col("text")).alias("texto"))
 
 
 def _fake_client():
@@ -497,3 +495,97 @@ def incremental_append(spark, sf):
         stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source)
         incremental.append_stream(stream, f"{out}/rows", f"{out}/state", "pid", lambda d: d.select("pid")).awaitTermination()
     return spark.read.parquet(f"{out}/rows")
+
+
+def _fake_lookup():
+    """A service that has its own copy of the articles with an even last digit and fails for those with a 5."""
+
+    def lookup(pid: str) -> str | None:
+        if pid.endswith("5"):
+            raise TimeoutError
+        return "<html>" + "b" * 300 if pid[-1] in "02468" else "b" * 50
+
+    return lookup
+
+
+def _fake_get():
+    """A site that is gone for articles whose address ends in 1, and answers 404 for those that end in 3."""
+
+    def get(url: str) -> tuple[int, str]:
+        if url.endswith("1"):
+            raise ConnectionError
+        return (404, "") if url.endswith("3") else (200, "<p>corto</p>" + f"<p>{'a' * 100}</p>" * 6)
+
+    return get
+
+
+@query
+def fetch_statuses(spark, sf):
+    """Bodies of all candidates by pid: fetched before, from the service, from the page, or the reason why there is none."""
+    have = _t(spark, sf, "fetch_log").where("chars > 0").select("pid", "chars")
+    return fetch.fetch_bodies(_t(spark, sf, "candidatos").select("pid", "html_url"), have, _fake_lookup, _fake_get, pace=0.0).select("pid", "fuente", "chars")
+
+
+@query
+def chat_usage(spark, sf):
+    """Calls and tokens of answers that hold the counts of usage_log; every seventh character code of a pid without content."""
+    counts = F.struct(*(F.col(c) for c in chat.USAGE))
+    empty = F.col("pid").endswith("7")
+    body = F.struct(F.array(F.struct(F.struct(F.when(empty, "").otherwise("{}").alias("content")).alias("message"))).alias("choices"), counts.alias("usage"))
+    called = _t(spark, sf, "usage_log").select("pid", F.when(F.col("pid").endswith("9"), "no es json").otherwise(F.to_json(body)).alias("response"), F.lit("").alias("error"))
+    return chat.usage(chat.answers(called))
+
+
+@query
+def cut_answer(spark, sf):
+    """A model's cut from a text's own words 21 to 24 to its heading of references; every third text without answer."""
+    d = _t(spark, sf, "preanot").where("text is not null").select("task_id", "text")
+    words = F.filter(F.split(T.strip(F.col("text")), f"{T.WS}+"), lambda w: w != "")
+    said = F.to_json(F.struct(F.lit(True).alias("inicio_basura"), F.array_join(F.slice(words, 21, 4), " ").alias("frag_inicio_contenido"), (F.col("task_id") % 2 == 0).alias("fin_basura"), F.lit(" Referencias ").alias("frag_inicio_basura_final")))
+    answer = responses.parse(F.when(F.col("task_id") % 3 != 0, said), clean.CUT)
+    return d.select("task_id", clean.apply_answer(F.col("text"), answer).alias("r")).select("task_id", F.col("r.text").alias("texto"), F.col("r.kept").alias("conservado"))
+
+
+@query
+def decision_reasons(spark, sf):
+    d = catalog.catalogue(_texts(spark, sf, "task_id", "text"))
+    return d.select("task_id", pipeline.decision_reason(F.col("title"), F.col("text"), F.col("structure")).alias("r")).select("task_id", "r.decision", "r.motivo")
+
+
+@query
+def eligible_drops(spark, sf):
+    """How many texts lack relevance or words, and how many stay."""
+    d = pipeline.eligible(_texts(spark, sf, "pid", "text"), _t(spark, sf, "candidatos"))
+    return d.groupBy(F.coalesce("dropped", F.lit("-")).alias("motivo")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def review_flags(spark, sf):
+    """Reasons to look at a text, how often each set of them is given, and whether it flags."""
+    r = _answers(spark, sf).select(responses.review(responses.parse(F.col("content"))).alias("r"))
+    return r.groupBy(F.col("r.flagged").alias("revisar"), F.col("r.motivos").alias("motivos")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def year_counts(spark, sf):
+    _, year = catalog.pid_parts(F.col("pid"))
+    return _t(spark, sf, "candidatos").groupBy(year.alias("anio")).agg(F.count(F.lit(1)).alias("n")).orderBy("anio")
+
+
+@query
+def first_pending(spark, sf):
+    """Of the first 100 pids those that no answer has approved yet."""
+    done = _t(spark, sf, "qc_deepseek").where(F.lower(F.trim("revisar")) == "no")
+    return relational.first_pending(_t(spark, sf, "preanot").select("pid").where("pid is not null").distinct(), done, "pid", 100)
+
+
+@query
+def missing_capped(spark, sf):
+    """How many candidates were never fetched, and the first ten of them."""
+    return relational.capped(pending_anti(spark, sf), "pid", 10).select("n", F.array_join("shown", ";").alias("primeros"), "more")
+
+
+@query
+def catalog_report(spark, sf):
+    cat = catalog.catalogue(_t(spark, sf, "preanot").select(F.col("task_id").cast("string").alias("pid"), "text"))
+    return catalog.report(cat).where("part < 3")

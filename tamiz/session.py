@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # calls to outside services must not run twice because a task is slow
     "spark.speculation": "false",
 }
@@ -35,6 +37,16 @@ def spread(df: DataFrame) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder of the cluster (``spark.checkpoint.dir``) and read again: they outlive an executor."""
     sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():  # only tests and single machines leave the setting out
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tamiz-"))
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; a temporary one of the machine only where driver and executors are one process."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="tamiz-")

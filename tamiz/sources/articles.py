@@ -13,6 +13,7 @@ import unicodedata
 from collections.abc import Iterator
 from pathlib import Path
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "pid string, titulo string, resumen string, tipo_documento string, anio string, idioma string, licencia string, html_url string"
@@ -56,6 +57,13 @@ def record(d: dict) -> tuple:
     return pid, d.get("title"), abstract, d.get("document_type"), (d.get("publication_date") or "")[:4] or None, d.get("language"), licence, url
 
 
+def article_scan(spark: SparkSession, place: str, from_year: int, until_year: int, most: int | None = None, **options: str) -> DataFrame:
+    """The articles of the years, read in parallel; ``most`` is one limit over the whole scan."""
+    spark.dataSource.register(ArticleSource)
+    d = spark.read.format("articles").options(place=place, from_year=str(from_year), until_year=str(until_year), **options).load()
+    return d if most is None else d.limit(most)
+
+
 class Year(InputPartition):
     def __init__(self, year: int):
         super().__init__(year)
@@ -71,11 +79,11 @@ class _Reader(DataSourceReader):
     def read(self, partition: Year) -> Iterator[tuple]:
         module, _, name = self.options.get("client", "tamiz.sources.articles:FileClient").partition(":")
         client = getattr(importlib.import_module(module), name)(self.options["place"])
-        most = int(self.options.get("max_scan", 0)) or None
-        for i, d in enumerate(client.documents(self.options.get("collection", "per"), f"{partition.value}-01-01", f"{partition.value}-12-31")):
-            if most is not None and i >= most:
-                return
-            row = record(d)
+        for d in client.documents(self.options.get("collection", "per"), f"{partition.value}-01-01", f"{partition.value}-12-31"):
+            try:
+                row = record(d)
+            except Exception:  # a record that cannot be read is left out, the others of its year are not
+                continue
             if row[0]:
                 yield row
 

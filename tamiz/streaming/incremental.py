@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.files import exists
+
 
 def append_new(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, key: str, transform: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet") -> StreamingQuery:
     """``append_stream`` of the files that come into a folder."""
@@ -23,10 +24,8 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str, key: str, tra
 
     def write(batch: DataFrame, n: int) -> None:
         rows = (transform(batch) if transform else batch).dropDuplicates([key])
-        try:
-            have = batch.sparkSession.read.parquet(target).select(key)
-        except AnalysisException:  # the first batch
-            have = None
+        spark = batch.sparkSession
+        have = spark.read.parquet(target).select(key) if exists(spark, f"{target}/*.parquet") else None  # nothing yet at the first batch
         (rows if have is None else rows.join(have, key, "left_anti")).write.mode("append").parquet(target)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
