@@ -19,18 +19,17 @@ from pyspark.sql import functions as F
 
 from .common import cut, journal, scan
 from .lines import signed
-from .pages import fold, line_key, page_lines, repair
+from .pages import line_key, page_lines, repair
 
 MOST_LINES = 2_000_000
 _FLUSH = 200_000
 
 
-def _hash(site: str, key: str) -> int:
-    return signed(xxhash.xxh64_intdigest(f"{site}\n{key}"))
+_hash = xxhash.xxh64_intdigest  # of a key; with its site by exclusive or
 
 
 def _keys(text: str) -> set[str]:
-    return {line_key(" ".join(fold(s).split())) for x in repair(text).split("\n") if len(s := x.strip()) > 1} - {""}
+    return {line_key(s) for x in repair(text).split("\n") if (s := x.strip())} - {""}
 
 
 def recurring(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str = "text", site_pm: int = 20, all_pm: int = 2, sites: int = 3, least: int = 5) -> DataFrame:
@@ -42,7 +41,8 @@ def recurring(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str =
 
         def flush():
             for (site, k), c in n.items():
-                yield site, _hash(site, k), _hash("", k), c
+                h = _hash(k)
+                yield site, signed(h ^ _hash(site)), signed(h), c
             for site, c in pages.items():
                 yield site, None, None, c
             n.clear()
@@ -67,6 +67,17 @@ def recurring(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str =
     return per_site.unionByName(across).distinct()
 
 
+def _member(has: frozenset[int], site: str):
+    """Whether a line's key is one of the recurring ones, by hash, of several sites or of its own."""
+    own = _hash(site)
+
+    def known(key: str) -> bool:
+        h = _hash(key)
+        return h in has or h ^ own in has
+
+    return known
+
+
 def _decided(df: DataFrame, key: str, pid: str, text: str, schema: str, emit) -> DataFrame:
     """``emit`` of (key, text, lines) for each page, its lines decided with the recurring ones."""
     found = cut(recurring(df, key, pid, text))
@@ -75,19 +86,18 @@ def _decided(df: DataFrame, key: str, pid: str, text: str, schema: str, emit) ->
         known = np.sort(found.toArrow()["h"].to_numpy())  # at most MOST_LINES numbers
 
         def each(it):
-            has = frozenset(known.tolist())
+            has = frozenset(known.view(np.uint64).tolist())
             for k, site, t in it:
-                yield from emit(k, t, page_lines(t, lambda low, site=site: (x := line_key(low)) != "" and (_hash("", x) in has or _hash(site, x) in has)))
+                yield from emit(k, t, page_lines(t, _member(has, site)))
 
         return scan(texts, schema, each)
     kind = df.schema[key].dataType.simpleString()
-    own = scan(texts.where(F.length(F.trim(text)) > 0), f"k {kind}, site string, h bigint", lambda it: ((k, site, h) for k, site, t in it for x in _keys(t) for h in (_hash("", x), _hash(site, x))))
+    own = scan(texts.where(F.length(F.trim(text)) > 0), f"k {kind}, site string, h bigint", lambda it: ((k, site, h) for k, site, t in it for x in map(_hash, _keys(t)) for h in (signed(x), signed(x ^ _hash(site)))))
     per = own.join(found, "h").groupBy(F.col("k").alias(key), "site").agg(F.collect_set("h").alias("hs"))
 
     def mine(it):
         for k, site, t, hs in it:
-            has = frozenset(hs or ())
-            yield from emit(k, t, page_lines(t, lambda low, site=site: (x := line_key(low)) != "" and (_hash("", x) in has or _hash(site, x) in has)))
+            yield from emit(k, t, page_lines(t, _member(frozenset(h & (1 << 64) - 1 for h in hs or ()), site)))
 
     return scan(texts.join(per, [key, "site"], "left").select(key, "site", text, "hs"), schema, mine)
 

@@ -5,7 +5,7 @@
    shingles, as hashes of 24 bits in order, is kept once for each mask of a journal, with the MinHash bands of the set. No text is shuffled.
 2. (key, pid) is made distinct, then counted by key: two steps, so no journal and no line is a hot group.
 3. Locality-sensitive hashing within a journal: BANDS bands of ROWS least hashes each; masks that agree in a band share a bucket. Two sets
-   of Jaccard similarity 0.8 share one with probability 0.986, of 0.85 with 0.997, of 0.9 with 0.9996. A set's parity is 64 bits, each shingle
+   of Jaccard similarity 0.8 share one with probability 0.983, of 0.85 with 0.994, of 0.9 with 0.9987. A set's parity is 48 bits, each shingle
    turns one over: parities differ in no more bits than the sets do in shingles, so members without another of fit parity and size go.
    The others are compared by the exact similarity. A bucket of more than HOT members is no task's group: its members are spread over
    buckets of a shingle each, the rarest in that bucket first, of which two sets of 0.8 share one (prefix filter); no link is lost.
@@ -32,7 +32,7 @@ SIMILAR = (4, 5)  # the least Jaccard similarity of a pair, 0.8, as a fraction
 _WORDS = re.compile(r"[^\W_]+")
 _MASK = (1 << 64) - 1
 _CHUNK = 4_000
-ROWS, BANDS = 3, 6
+ROWS, BANDS = 2, 4
 HOT = 3_000  # members of a bucket that one task compares
 _WIDTH = 3  # bytes of a shingle's hash in a set
 
@@ -74,7 +74,7 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
 
 
 def shingles(masks: list[list[str]], known: dict[str, int]) -> tuple[list[bytes], list[int], np.ndarray]:
-    """The set of each mask's shingles: different hashes of 24 bits, least first, packed; its parity; and a row of its bands."""
+    """The set of each mask's shingles: different hashes of 24 bits, least first, packed; its parity, with its size in the last 16 bits; and a row of its bands."""
     sizes = np.array([max(len(m), SHINGLE) for m in masks])
     flat = np.array([h for m in masks for h in (*map(known.__getitem__, m), *(0,) * (SHINGLE - len(m)))], dtype=np.uint64)
     with np.errstate(over="ignore"):
@@ -90,7 +90,8 @@ def shingles(masks: list[list[str]], known: dict[str, int]) -> tuple[list[bytes]
     token = both & np.uint64(0xFFFFFF)
     packed = token.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_WIDTH].tobytes()
     starts = np.searchsorted(both >> np.uint64(32), np.arange(len(masks) + 1, dtype=np.uint64))
-    parity = np.bitwise_xor.reduceat(np.uint64(1) << (token & np.uint64(63)), starts[:-1]).view(np.int64)  # no set is empty
+    parity = np.bitwise_xor.reduceat(np.uint64(1) << (token % np.uint64(48)), starts[:-1])  # no set is empty
+    parity = (parity << np.uint64(16) | np.minimum(np.diff(starts), 0xFFFF).astype(np.uint64)).view(np.int64)
     bands = np.empty((len(masks), BANDS), dtype=np.uint64)
     for band in range(BANDS):
         h = np.full(len(masks), band, dtype=np.uint64)
@@ -167,9 +168,8 @@ def links(sets: DataFrame) -> DataFrame:
 
     sets is (j, m, s, parity, bands), rows may repeat. A bucket is the 64-bit hash of a journal and a band.
     """
-    n = (F.length("s") / _WIDTH).cast("int").alias("n")
-    buckets = sets.select("m", n, "parity", "j", F.explode("bands").alias("band")).select(F.xxhash64("j", "band").alias("bucket"), "m", "n", "parity")
-    near = buckets.repartition("bucket").sortWithinPartitions("bucket", "n", "m").mapInArrow(fit, "bucket bigint, m bigint, hot boolean")
+    buckets = sets.select("m", "parity", "j", F.explode("bands").alias("band")).select(F.xxhash64("j", "band").alias("bucket"), "m", "parity")
+    near = buckets.repartition("bucket").sortWithinPartitions("bucket", F.expr("parity & 65535"), "m").mapInArrow(fit, "bucket bigint, m bigint, hot boolean")
     members = cut(near)
     one = narrowed(sets.select("m", "s"), members, "m").groupBy("m").agg(F.first("s").alias("s"))
     both = members.join(one, "m")
@@ -201,10 +201,11 @@ def fit(batches):
     All members of a bucket of more than HOT are let through, marked; it is looked at only as far as that is known.
     """
     def some(t: pa.Table) -> pa.RecordBatch:
-        bucket, m, n, parity = (t.column(c).to_numpy() for c in ("bucket", "m", "n", "parity"))
+        bucket, m, parity = (t.column(c).to_numpy() for c in ("bucket", "m", "parity"))
         first = np.ones(len(m), dtype=bool)
         first[1:] = (bucket[1:] != bucket[:-1]) | (m[1:] != m[:-1])
-        bucket, m, n, parity = (x[first] for x in (bucket, m, n, parity))
+        bucket, m, parity = (x[first] for x in (bucket, m, parity))
+        n, parity = parity & 0xFFFF, parity >> 16
         start = np.flatnonzero(np.diff(bucket, prepend=~bucket[0]))
         hot = np.repeat(np.diff(np.append(start, len(m))) > HOT, np.diff(np.append(start, len(m))))
         good = hot.copy()
@@ -314,9 +315,11 @@ def components(pairs: DataFrame) -> DataFrame:
 def clusters(keys: DataFrame, sets: DataFrame) -> DataFrame:
     """(k, cluster) of all keys of clusters of several keys; keys is (k, m), sets is that of links(), rows may repeat."""
     tree = components(links(sets))
-    named = keys.distinct().join(tree, "m", "left").select("k", F.coalesce("cluster", "m").alias("c"))
-    several = cut(named.groupBy("c").agg(F.min("k").alias("cluster"), F.max("k").alias("top")).where("cluster < top").select("c", "cluster"))
-    return named.join(several, "c").select("k", "cluster")
+    masks = keys.groupBy("m").agg(F.min("k").alias("low"), F.max("k").alias("top"))
+    near = cut(masks.join(tree, "m", "left").where("cluster is not null or low < top").select("m", F.coalesce("cluster", "m").alias("c"), "low", "top"))
+    several = near.groupBy("c").agg(F.min("low").alias("cluster"), F.max("top").alias("top")).where("cluster < top").select("c", "cluster")
+    named = cut(near.join(several, "c").select("m", "cluster"))
+    return narrowed(keys, named, "m").distinct().join(named, "m").select("k", "cluster")
 
 
 def repeated_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str = "text", least: int = 5, share_pm: int = 50, exact: bool = False) -> DataFrame:
@@ -339,9 +342,9 @@ def repeated_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text:
     sets = stretch.select(F.inline(F.arrays_zip("sj", "sm", "ss", "sb", "st"))).toDF("j", "m", "s", "parity", "bands")
     member = cut(clusters(keys, sets))
     # the pids of a cluster of several keys, each once
-    size = texts.select("p", F.explode("ks").alias("k")).join(member, "k").select("cluster", "p").distinct().groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
+    size = narrowed(texts.select("p", F.explode("ks").alias("k")), member, "k").join(member, "k").select("cluster", "p").distinct().groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
     sized = (
-        counts.join(member, "k", "left").withColumn("cluster", F.coalesce("cluster", "k")).join(size, "cluster", "left")
+        counts.join(member, "k", "left").where((F.col("line_pids") >= least) | F.col("cluster").isNotNull()).withColumn("cluster", F.coalesce("cluster", "k")).join(size, "cluster", "left")
         .withColumn("cluster_pids", F.coalesce("c", "line_pids")).where(F.col("cluster_pids") >= least).join(total, "j")
     )
     kept = sized.where(often("cluster_pids"))

@@ -241,13 +241,11 @@ def _titleish(s: str, low: str) -> bool:
 
 PRIOR = 0.6  # the part of a line's characters that are link text if it reads like one
 RECURRING = 0.15  # the same of a sentence, or a piece of one, that recurs: a notice, or a statement of the article
-_DIGITS = re.compile(r"\d+")
-_MARKS = re.compile(r"[\W_]+")
 
 
-def line_key(low: str) -> str:
-    """A folded line's letters and digits, with 0 for numbers, by which lines of pages recur."""
-    return _DIGITS.sub("0", _MARKS.sub(" ", low)).strip()
+def line_key(s: str) -> str:
+    """What a line has in common with its like in other pages: its words without accents and case; a paragraph's are not folded."""
+    return s.lower() if len(s) >= 260 else " ".join(_WORD.findall(fold(s)))
 
 
 def recurs_by_form(s: str, low: str) -> bool:
@@ -255,10 +253,9 @@ def recurs_by_form(s: str, low: str) -> bool:
     return low.strip(" .:") in _HEADS or bool(_DATES.match(low) or _KEY.match(low) or _CAPTION.match(low) or _ROW.search(s) or _REFTAIL.search(s) or _AUTHORS.match(s) or _PAIR.match(s))
 
 
-def _mass(s: str, low: str, reads: bool, repeated: Callable[[str], bool] | None) -> float:
+def _mass(s: str, low: str, words: list[str], reads: bool, repeated: Callable[[str], bool] | None) -> float:
     """The part of a line's characters that count as link text."""
-    if repeated is not None and len(low) > 1 and (reads or not recurs_by_form(s, low)) and repeated(low):
-        words = _WORD.findall(low)
+    if repeated is not None and words and repeated(low if len(s) >= 260 else " ".join(words)) and (reads or not recurs_by_form(s, low)):
         sentence = s[:1].islower() or len(words) > 4 and prose_share(words) >= 0.2
         return RECURRING if sentence and not reads else 1.0
     return PRIOR if reads else 0.0
@@ -269,7 +266,7 @@ def prose_share(words: list[str]) -> float:
 
 
 def page_lines(text: str | None, repeated: Callable[[str], bool] | None = None) -> list[Line]:
-    """Every line of a text with its kind; null gives no line, a blank text blank lines. ``repeated`` tells folded lines that recur in pages."""
+    """Every line of a text with its kind; null gives no line, a blank text blank lines. ``repeated`` tells the keys of lines that recur in pages."""
     if text is None:
         return []
     raw = repair(text).split("\n")
@@ -354,7 +351,7 @@ def page_lines(text: str | None, repeated: Callable[[str], bool] | None = None)
         low, is_page, wordss[i] = _look(v)
         lows[i] = low
         c = float(len(v))
-        mass = _mass(v, low, is_page, repeated)
+        mass = _mass(v, low, wordss[i], is_page, repeated)
         lc = max(mass * c, float(lc))
         leaf[i] = (c, max(tags, 1), lc, links + mass)
         b = where[i]
