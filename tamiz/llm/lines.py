@@ -5,7 +5,7 @@
    shingles, as hashes of 24 bits in order, is kept once for each mask of a journal, with the MinHash bands of the set. No text is shuffled.
 2. (key, pid) is made distinct, then counted by key: two steps, so no journal and no line is a hot group.
 3. Locality-sensitive hashing within a journal: BANDS bands of ROWS least hashes each; masks that agree in a band share a bucket. Two sets
-   of Jaccard similarity 0.8 share one with probability 0.983, of 0.85 with 0.994, of 0.9 with 0.9987. A set's parity is 48 bits, each shingle
+   of Jaccard similarity 0.8 share one with probability 0.998, of 0.85 with 0.9995, of 0.9 with 0.99995. A set's parity is 48 bits, each shingle
    turns one over: parities differ in no more bits than the sets do in shingles, so members without another of fit parity and size go.
    The others are compared by the exact similarity. A bucket of more than HOT members is no task's group: its members are spread over
    buckets of a shingle each, the rarest in that bucket first, of which two sets of 0.8 share one (prefix filter); no link is lost.
@@ -32,7 +32,7 @@ SIMILAR = (4, 5)  # the least Jaccard similarity of a pair, 0.8, as a fraction
 _WORDS = re.compile(r"[^\W_]+")
 _MASK = (1 << 64) - 1
 _CHUNK = 4_000
-ROWS, BANDS = 2, 4
+ROWS, BANDS = 2, 6
 HOT = 3_000  # members of a bucket that one task compares
 _WIDTH = 3  # bytes of a shingle's hash in a set
 

@@ -114,7 +114,7 @@ def test_clusters_equal_brute_force(spark, monkeypatch):
     want = near(data, 2, 1)
     got = found()
     assert {x[2] for x in want} >= {2, 3, 12} and {x[:2] for x in got} <= {x[:2] for x in want}  # no false member; a missed link may part a cluster
-    assert len({x[:2] for x in got}) >= 0.9 * len({x[:2] for x in want}) and len(got & want) >= 0.8 * len(want)
+    assert len({x[:2] for x in got}) >= 0.97 * len({x[:2] for x in want}) and len(got & want) >= 0.9 * len(want)
     monkeypatch.setattr(lines, "HOT", 4)  # large buckets are spread over others, without a loss
     assert found() == got
 
@@ -129,7 +129,7 @@ def test_recall_of_pairs(spark):
         other[10], other[50] = word(), word()
         data += [(f"S1111-11112001{2 * i + k:09d}", " ".join(x)) for k, x in enumerate((base, other))]
     want, got = near(data, 2, 1), {(x.task_id, x.line_no, x.cluster_pids) for x in lines.repeated_lines(table(spark, data), least=2, share_pm=1).collect()}
-    assert len(want) > 300 and got <= want and len(got) >= 0.96 * len(want)
+    assert len(want) > 300 and got <= want and len(got) >= 0.98 * len(want)
 
 
 def test_components(spark):
