@@ -205,7 +205,7 @@ def fit(batches):
         first = np.ones(len(m), dtype=bool)
         first[1:] = (bucket[1:] != bucket[:-1]) | (m[1:] != m[:-1])
         bucket, m, parity = (x[first] for x in (bucket, m, parity))
-        n, parity = parity & 0xFFFF, parity >> 16
+        n, parity = parity & 0xFFFF, parity >> 16 & (1 << 48) - 1
         start = np.flatnonzero(np.diff(bucket, prepend=~bucket[0]))
         hot = np.repeat(np.diff(np.append(start, len(m))) > HOT, np.diff(np.append(start, len(m))))
         good = hot.copy()
