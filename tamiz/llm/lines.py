@@ -173,7 +173,7 @@ def links(sets: DataFrame) -> DataFrame:
     members = cut(near)
     one = narrowed(sets.select("m", "s"), members, "m").groupBy("m").agg(F.first("s").alias("s"))
     both = members.join(one, "m")
-    hot = cut(both.where("hot").drop("hot"))
+    hot = cut(both.where("hot").select("bucket", "m", "s"))
     rows = both.where("not hot").select("bucket", "m", "s")
     if not hot.isEmpty():
         rows = rows.unionByName(spread_bucket(hot))
