@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..session import cut
 
-__all__ = ["cut", "journal", "narrowed", "running_total", "scan", "table", "unit"]
+__all__ = ["cut", "journal", "narrowed", "release", "running_total", "scan", "table", "unit"]
 
 ROWS_A_BATCH = 5_000
 
@@ -71,6 +72,13 @@ def narrowed(df: DataFrame, ids: DataFrame, on: str | list[str]) -> DataFrame:
     return df.where(Column(tools.column(catalyst.BloomFilterMightContain(plain(filled.scalar()), key))))
 
 
+def release(df: DataFrame) -> None:
+    """Has Spark delete the shuffles and checkpoints that nothing refers to any more, which it does only as the driver's garbage is collected."""
+    if hasattr(df, "_jdf"):
+        gc.collect()  # handles of Python that are part of a cycle
+        df.sparkSession._jvm.System.gc()
+
+
 def journal(pid: Column) -> Column:
     """The ISSN that a pid holds in its characters 2 to 10; a written ISSN of the same pid never contradicts it."""
     return F.substring(pid, 2, 9)

@@ -2,13 +2,15 @@
 
 1. One pass cuts each text into lines and folds them. A line's key is the hash of its journal and of its letters and digits without
    case and accents. Its mask has numbers and dates as 0 and capitalised names inside the line as X; the set of the mask's five-word
-   shingles, as hashes of 24 bits in order, is kept once for each mask of a journal, with the MinHash bands of the set. No text is shuffled.
+   shingles, as hashes of 24 bits in order, is kept once for each mask of a journal. No text is shuffled.
 2. (key, pid) is made distinct, then counted by key: two steps, so no journal and no line is a hot group.
 3. Locality-sensitive hashing within a journal: BANDS bands of ROWS least hashes each; masks that agree in a band share a bucket. Two sets
-   of Jaccard similarity 0.8 share one with probability 0.998, of 0.85 with 0.9995, of 0.9 with 0.99995. A set's parity is 48 bits, each shingle
+   of Jaccard similarity 0.8 share one with probability 0.998, of 0.85 with 0.9995, of 0.9 with 0.99995. A set's parity is 96 bits, each shingle
    turns one over: parities differ in no more bits than the sets do in shingles, so members without another of fit parity and size go.
-   The others are compared by the exact similarity. A bucket of more than HOT members is no task's group: its members are spread over
-   buckets of a shingle each, the rarest in that bucket first, of which two sets of 0.8 share one (prefix filter); no link is lost.
+   Sets of fewer than WIDE shingles keep it folded to 48 bits, which tells them apart; of long lines 48 bits let many unlike pairs pass.
+   The others are compared by the exact similarity. A bucket with more than HOT of them, or of more than DENSE members, is no task's group:
+   its members are spread over buckets of a shingle each, the rarest in that bucket first, of which two sets of 0.8 share one (prefix
+   filter); no link is lost.
 4. The links are followed to a fixed point; a component is a cluster. It is boilerplate if its lines occur in at least ``least``
    distinct pids and ``share`` of the journal's distinct pids.
 5. ``exact=True`` then checks the lines of these clusters: each has to reach both bounds by itself.
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, journal, narrowed, scan
+from .common import cut, journal, narrowed, release, scan
 
 SHINGLE = 5
 SIMILAR = (4, 5)  # the least Jaccard similarity of a pair, 0.8, as a fraction
@@ -33,8 +35,10 @@ _WORDS = re.compile(r"[^\W_]+")
 _MASK = (1 << 64) - 1
 _CHUNK = 4_000
 ROWS, BANDS = 2, 6
-HOT = 3_000  # members of a bucket that one task compares
+HOT = 3_000  # members of a bucket that one task compares by their sets
+DENSE = 20_000  # and by their parities
 _WIDTH = 3  # bytes of a shingle's hash in a set
+WIDE = 40  # shingles from which a set's parity is not folded
 
 
 def signed(x: int) -> int:
@@ -73,8 +77,8 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
         return y * np.uint64(0xC4CEB9FE1A85EC53)
 
 
-def shingles(masks: list[list[str]], known: dict[str, int]) -> tuple[list[bytes], list[int], np.ndarray]:
-    """The set of each mask's shingles: different hashes of 24 bits, least first, packed; its parity, with its size in the last 16 bits; and a row of its bands."""
+def shingles(masks: list[list[str]], known: dict[str, int]) -> list[bytes]:
+    """The set of each mask's shingles: different hashes of 24 bits, least first, packed."""
     sizes = np.array([max(len(m), SHINGLE) for m in masks])
     flat = np.array([h for m in masks for h in (*map(known.__getitem__, m), *(0,) * (SHINGLE - len(m)))], dtype=np.uint64)
     with np.errstate(over="ignore"):
@@ -87,18 +91,36 @@ def shingles(masks: list[list[str]], known: dict[str, int]) -> tuple[list[bytes]
     line = np.repeat(np.arange(len(masks), dtype=np.uint64), sizes)[: len(total)]
     whole = np.arange(len(total)) + SHINGLE <= np.cumsum(sizes)[line.astype(np.int64)]
     both = np.unique((line[whole] << np.uint64(32)) | (total[whole] >> np.uint64(40)))
-    token = both & np.uint64(0xFFFFFF)
-    packed = token.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_WIDTH].tobytes()
+    packed = (both & np.uint64(0xFFFFFF)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_WIDTH].tobytes()
     starts = np.searchsorted(both >> np.uint64(32), np.arange(len(masks) + 1, dtype=np.uint64))
-    parity = np.bitwise_xor.reduceat(np.uint64(1) << (token % np.uint64(48)), starts[:-1])  # no set is empty
-    parity = (parity << np.uint64(16) | np.minimum(np.diff(starts), 0xFFFF).astype(np.uint64)).view(np.int64)
-    bands = np.empty((len(masks), BANDS), dtype=np.uint64)
-    for band in range(BANDS):
-        h = np.full(len(masks), band, dtype=np.uint64)
-        for row in range(ROWS):
-            h = _mixed(h ^ np.minimum.reduceat(_mixed(token, 1 + band * ROWS + row), starts[:-1]), 99)
-        bands[:, band] = h
-    return [packed[a * _WIDTH:b * _WIDTH] for a, b in zip(starts, starts[1:])], parity.tolist(), bands.view(np.int64)
+    return [packed[a * _WIDTH:b * _WIDTH] for a, b in zip(starts, starts[1:])]
+
+
+def banded(batches):
+    """(bucket, m, parity, wide) for each band of sets (j, m, s), none of them empty.
+
+    A bucket is a hash of the journal and the band; parity is folded, with the set's size in the last 16 bits; wide is the upper half
+    of the parity before it was folded, 0 for sets of fewer than WIDE.
+    """
+    for b in batches:
+        if not b.num_rows:
+            continue
+        sets = b.column("s").cast(pa.binary())
+        at = np.frombuffer(sets.buffers()[1], dtype=np.int32)[sets.offset:sets.offset + len(sets) + 1]
+        wide = np.zeros(((at[-1] - at[0]) // _WIDTH, 4), dtype=np.uint8)
+        wide[:, :_WIDTH] = np.frombuffer(sets.buffers()[2], dtype=np.uint8)[at[0]:at[-1]].reshape(-1, _WIDTH)
+        token = wide.view("<u4").ravel().astype(np.uint64)
+        starts, n = (at[:-1] - at[0]) // _WIDTH, np.diff(at) // _WIDTH
+        bit = np.uint64(1) << (token % np.uint64(48))
+        parity = np.bitwise_xor.reduceat(bit, starts) << np.uint64(16) | np.minimum(n, 0xFFFF).astype(np.uint64)
+        upper = np.where(n < WIDE, np.uint64(0), np.bitwise_xor.reduceat(np.where(token % np.uint64(96) < 48, np.uint64(0), bit), starts))
+        j = b.column("j").to_numpy().view(np.uint64)
+        for band in range(BANDS):
+            h = np.full(len(n), band, dtype=np.uint64)
+            for row in range(ROWS):
+                h = _mixed(h ^ np.minimum.reduceat(_mixed(token, 1 + band * ROWS + row), starts), 99)
+            columns = (_mixed(h ^ j, 98).view(np.int64), b.column("m"), parity.view(np.int64), upper.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(x) if isinstance(x, np.ndarray) else x for x in columns], names=["bucket", "m", "parity", "wide"])
 
 
 def unpacked(s: bytes) -> list[int]:
@@ -117,26 +139,32 @@ def keyed_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str
     """Two kinds of rows, so that one pass over the texts makes both and both are small.
 
     (t, p, j, ns, ks) for a text: hashes of its pid and journal, numbers and keys of its lines of at least ``shortest`` letters and digits.
-    (fk, fm, sj, sm, ss, sb, st) for a stretch of texts: the different keys in it with their masks' hashes; journals, hashes, shingle sets,
-    parities and bands of the different masks that another can be similar to. A mask's hash is that of its journal and shingles.
+    (fk, fm, sj, sm, ss) for a stretch of texts: the different keys in it with their masks' hashes; journals, hashes and shingle sets of
+    the different masks that another can be similar to. What an earlier stretch of the task has is mostly left out. A mask's hash is
+    that of its journal and shingles.
     """
     kind = df.schema[key].dataType.simpleString()
 
     def rows(it):
         known = _Hashes()
         fresh: dict[int, tuple[int, list[str]]] = {}
+        given: set[int] = set()  # keys
+        given_masks: set[int] = set()
 
         def flush():
             if fresh:
-                sets, parity, bands = shingles([m for _, m in fresh.values()], known)
+                sets = shingles([m for _, m in fresh.values()], known)
                 ms = [signed(xxhash.xxh64_intdigest(x, j & _MASK)) for (j, _), x in zip(fresh.values(), sets)]
                 # sets of up to three are similar only to equal ones
-                once = {m: (j, x, b, h) for m, (j, _), x, b, h in zip(ms, fresh.values(), sets, parity, bands.tolist()) if len(x) > 3 * _WIDTH}
-                js, xs, bs, hs = zip(*once.values()) if once else ((), (), (), ())
-                yield None, None, None, None, None, list(fresh), ms, js, list(once), xs, bs, hs
+                once = {m: (j, x) for m, (j, _), x in zip(ms, fresh.values(), sets) if len(x) > 3 * _WIDTH and m not in given_masks}
+                js, xs = zip(*once.values()) if once else ((), ())
+                yield None, None, None, None, None, list(fresh), ms, js, list(once), xs
+                given.update(fresh)
+                given_masks.update(once)
             fresh.clear()
-            if len(known) > 500_000:
-                known.clear()
+            for x in (known, given, given_masks):
+                if len(x) > 500_000:
+                    x.clear()
 
         for k, p, t in it:
             site, ns, ks = p[1:10], [], []
@@ -151,29 +179,31 @@ def keyed_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text: str
                 h = signed(xxhash.xxh64_intdigest(f"{site}\n{s.lower()}"))
                 ns.append(n)
                 ks.append(h)
-                if h not in fresh:
+                if h not in fresh and h not in given:
                     fresh[h] = (j, mask(words))
             if ns:
-                yield k, signed(xxhash.xxh64_intdigest(p)), j, ns, ks, None, None, None, None, None, None, None
+                yield k, signed(xxhash.xxh64_intdigest(p)), j, ns, ks, None, None, None, None, None
             if len(fresh) > _CHUNK:
                 yield from flush()
         yield from flush()
 
-    schema = f"t {kind}, p bigint, j bigint, ns array<int>, ks array<bigint>, fk array<bigint>, fm array<bigint>, sj array<bigint>, sm array<bigint>, ss array<binary>, sb array<bigint>, st array<array<bigint>>"
+    schema = f"t {kind}, p bigint, j bigint, ns array<int>, ks array<bigint>, fk array<bigint>, fm array<bigint>, sj array<bigint>, sm array<bigint>, ss array<binary>"
     return scan(df.where(F.col(text).isNotNull() & F.col(pid).isNotNull()).select(key, pid, text), schema, rows)
 
 
 def links(sets: DataFrame) -> DataFrame:
     """(m, to): masks of a journal that share a bucket and are at least 0.8 similar, enough of them to join all that are.
 
-    sets is (j, m, s, parity, bands), rows may repeat. A bucket is the 64-bit hash of a journal and a band.
+    sets is (j, m, s), rows may repeat.
     """
-    buckets = sets.select("m", "parity", "j", F.explode("bands").alias("band")).select(F.xxhash64("j", "band").alias("bucket"), "m", "parity")
+    buckets = sets.select("j", "m", "s").mapInArrow(banded, "bucket bigint, m bigint, parity bigint, wide bigint")
     near = buckets.repartition("bucket").sortWithinPartitions("bucket", F.expr("parity & 65535"), "m").mapInArrow(fit, "bucket bigint, m bigint, hot boolean")
     members = cut(near)
+    del buckets, near
     one = narrowed(sets.select("m", "s"), members, "m").groupBy("m").agg(F.first("s").alias("s"))
-    both = members.join(one, "m")
-    hot = cut(both.where("hot").select("bucket", "m", "s"))
+    both = cut(members.join(one, "m"))
+    release(both)  # the shuffle of all buckets
+    hot = both.where("hot").select("bucket", "m", "s")
     rows = both.where("not hot").select("bucket", "m", "s")
     if not hot.isEmpty():
         rows = rows.unionByName(spread_bucket(hot))
@@ -198,25 +228,29 @@ def spread_bucket(hot: DataFrame) -> DataFrame:
 def fit(batches):
     """Of buckets' members, in order of bucket, size and mask, those with another in their bucket that can be 0.8 similar by size and parity.
 
-    All members of a bucket of more than HOT are let through, marked; it is looked at only as far as that is known.
+    They are marked if they are more than HOT. All members of a bucket of more than DENSE are let through, marked; it is looked at only as
+    far as that is known.
     """
     def some(t: pa.Table) -> pa.RecordBatch:
-        bucket, m, parity = (t.column(c).to_numpy() for c in ("bucket", "m", "parity"))
+        bucket, m, parity, wide = (t.column(c).to_numpy() for c in ("bucket", "m", "parity", "wide"))
         first = np.ones(len(m), dtype=bool)
         first[1:] = (bucket[1:] != bucket[:-1]) | (m[1:] != m[:-1])
-        bucket, m, parity = (x[first] for x in (bucket, m, parity))
+        bucket, m, parity, wide = (x[first] for x in (bucket, m, parity, wide))
         n, parity = parity & 0xFFFF, parity >> 16 & (1 << 48) - 1
         start = np.flatnonzero(np.diff(bucket, prepend=~bucket[0]))
-        hot = np.repeat(np.diff(np.append(start, len(m))) > HOT, np.diff(np.append(start, len(m))))
-        good = hot.copy()
-        i, away = np.flatnonzero(~hot), 0
+        size = np.diff(np.append(start, len(m)))
+        good = np.repeat(size > DENSE, size)
+        i, away = np.flatnonzero(~good), 0
         while len(i):  # each member with the one next to it, then the one after, as far as the sizes go
             away += 1
             i = i[i + away < len(m)]
             i = i[(bucket[i] == bucket[i + away]) & (n[i + away] * SIMILAR[0] <= n[i] * SIMILAR[1])]
-            apart = np.bitwise_count((parity[i] ^ parity[i + away]).view(np.uint64)).astype(np.int64)
+            folded = parity[i] ^ parity[i + away]
+            upper = np.where(n[i] < WIDE, 0, wide[i] ^ wide[i + away])  # the next is no smaller
+            apart = np.bitwise_count(upper.view(np.uint64)).astype(np.int64) + np.bitwise_count((folded ^ upper).view(np.uint64))
             both = i[apart * sum(SIMILAR) <= (n[i] + n[i + away]) * (SIMILAR[1] - SIMILAR[0])]
             good[both] = good[both + away] = True
+        hot = np.repeat(np.add.reduceat(good.astype(np.int64), start) > HOT, size)
         return pa.RecordBatch.from_arrays([pa.array(x[good]) for x in (bucket, m, hot)], names=["bucket", "m", "hot"])
 
     held, rows, passing = [], 0, None
@@ -242,7 +276,7 @@ def fit(batches):
         if end:
             yield some(t.slice(0, end))
         t = t.slice(end)
-        if t.num_rows > HOT and len(np.unique(t.column("m").to_numpy())) > HOT:
+        if t.num_rows > DENSE and len(np.unique(t.column("m").to_numpy())) > DENSE:
             passing = t.column("bucket")[0].as_py()
             yield some(t)
             t = t.slice(t.num_rows)
@@ -339,7 +373,7 @@ def repeated_lines(df: DataFrame, key: str = "task_id", pid: str = "pid", text:
     often = lambda n: (F.col(n) >= least) & (F.col(n) * 1000 >= F.col("pids") * share_pm)
     stretch = both.where("t is null")
     keys = stretch.select(F.inline(F.arrays_zip("fk", "fm"))).toDF("k", "m")
-    sets = stretch.select(F.inline(F.arrays_zip("sj", "sm", "ss", "sb", "st"))).toDF("j", "m", "s", "parity", "bands")
+    sets = stretch.select(F.inline(F.arrays_zip("sj", "sm", "ss"))).toDF("j", "m", "s")
     member = cut(clusters(keys, sets))
     # the pids of a cluster of several keys, each once
     size = narrowed(texts.select("p", F.explode("ks").alias("k")), member, "k").join(member, "k").select("cluster", "p").distinct().groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))

@@ -3,6 +3,8 @@ import re
 import unicodedata
 from collections import defaultdict
 
+import pyarrow as pa
+
 from tamiz.llm import lines
 
 SCHEMA = "task_id bigint, pid string, text string, k string, p string, n int, cluster string"
@@ -160,3 +162,48 @@ def test_empty_and_long(spark):
 def test_mask():
     assert lines.mask(re.findall(r"\w+", "Depósito legal N 2006 78831 Sociedad de Oncología")) == ["depósito", "legal", "x", "0", "x", "de", "x"]
     assert lines.mask(["TODO", "EN", "MAYÚSCULAS"]) == ["todo", "en", "mayúsculas"]
+
+
+def test_unrelated_long_lines_are_no_members(spark, monkeypatch):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghilmnopqrstu") for _ in range(r.randrange(3, 9)))
+    phrases = [[word() for _ in range(15)] for _ in range(40)]  # lines that share some meet in a band, none is similar to another
+    data = [(f"S1111-11112001{i:09d}", " ".join(w for x in r.sample(phrases, 6) for w in x)) for i in range(400)]
+    assert not near(data, 2, 1)
+    members, cut = [], lines.cut
+
+    def counted(df):
+        out = cut(df)
+        if "hot" in out.columns and "s" not in out.columns:
+            members.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "cut", counted)
+    assert lines.repeated_lines(table(spark, data), least=2, share_pm=1).count() == 0 and members and max(members) <= 4
+
+
+def test_fit_loses_no_pair(monkeypatch):
+    r = random.Random(10)
+    sets = []
+    for _ in range(150):  # of all sizes around WIDE; pairs of similarity 0.8 and more among others
+        a = set(r.sample(range(1 << 24), r.randrange(4, 3 * lines.WIDE)))
+        for _ in range(r.randrange(1, 4)):
+            b = set(a)
+            for _ in range(r.randrange(1 + len(a) // 8)):
+                b.discard(r.choice(sorted(b)))
+                b.add(r.randrange(1 << 24))
+            sets.append(frozenset(b) if r.random() < 0.8 else frozenset(r.sample(sorted(b), len(b) * 4 // 5 + 1)))
+    sets = list(dict.fromkeys(x for x in sets if len(x) > 3))
+    packed = [b"".join(t.to_bytes(3, "little") for t in sorted(x)) for x in sets]
+    b = pa.RecordBatch.from_arrays([pa.array([7] * len(sets)), pa.array(range(len(sets))), pa.array(packed)], names=["j", "m", "s"])
+    band = next(lines.banded([b, b.slice(5, 9)])).set_column(0, "bucket", pa.array([1] * len(sets)))  # all in one bucket
+    order = sorted(range(len(sets)), key=lambda i: (band.column("parity")[i].as_py() & 65535, i))
+    want = {i for i, x in enumerate(sets) for k, y in enumerate(sets) if i != k and len(x & y) * 5 >= len(x | y) * 4}
+    rows = lambda: [x for b in lines.fit([band.take(pa.array(order))]) for x in zip(b.column("m").to_pylist(), b.column("hot").to_pylist())]
+    assert [lines.unpacked(x) for x in packed] == [sorted(x) for x in sets] and {len(sets[i]) < lines.WIDE for i in want} == {True, False}
+    alone = {i for i, x in enumerate(sets) if not any(i != k and len(x & y) * 2 >= len(x | y) for k, y in enumerate(sets))}
+    assert want <= {m for m, hot in rows() if not hot} and not alone & {m for m, _ in rows()} and len(alone) > 20
+    monkeypatch.setattr(lines, "HOT", 5)
+    assert want <= {m for m, hot in rows() if hot} and not alone & {m for m, _ in rows()}
+    monkeypatch.setattr(lines, "DENSE", 5)  # not compared at all
+    assert sorted(rows()) == [(i, True) for i in range(len(sets))]
